@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from costlake.functions.values import hash_bucket, round6
 from costlake.operators.splits import require_keys
 from costlake.sources.schemas import ORG_BUCKETS, SERVING_TABLES, ServingSpec
+from costlake.sources.sinks import clustering_order
 
 
 def _served(field: T.StructField) -> Column:
@@ -51,11 +52,7 @@ def _in_range(
 
 
 def _ordered(rows: DataFrame, spec: ServingSpec) -> DataFrame:
-    order = [
-        F.col(name).desc() if direction == "desc" else F.col(name).asc()
-        for name, direction in spec.clustering
-    ]
-    return rows.orderBy(*order)
+    return rows.orderBy(*clustering_order(spec))
 
 
 def daily_costs(usage: DataFrame, org_id: str, month: str, first_day: str, last_day: str) -> DataFrame:

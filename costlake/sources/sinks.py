@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,18 +80,25 @@ def last_write(rows: DataFrame, spec: ServingSpec) -> DataFrame:
     return dedupe_rows(rows, spec.primary_key, sortable)
 
 
-def upsert(rows: DataFrame, spec: ServingSpec, path: str, batch: str | int | None = None) -> None:
+def upsert(rows: DataFrame, spec: ServingSpec, path: str, batch: str | None = None) -> None:
     """Insert or replace rows by primary key in a serving table.
 
     Only the directories that the batch touches are read and rewritten. The merged directories are
     first written in full to a staging folder named after the batch, then published by dynamic
     overwrite. A job that dies while publishing is repeated from the staged copy, so old rows
-    cannot be lost between deletion and replacement.
+    cannot be lost between deletion and replacement. ``batch`` must name one batch only.
     """
     spark = rows.sparkSession
-    staging = f"{path}__staging/{batch if batch is not None else uuid.uuid4().hex}"
+    staging = f"{path}__staging/{batch or uuid.uuid4().hex}"
     if not exists(spark, f"{staging}/_SUCCESS"):
-        _merged(rows, spec, path).write.mode("overwrite").parquet(staging)
+        incoming = last_write(rows.select(*spec.columns), spec).withColumn(
+            "org_bucket", hash_bucket("org_id", ORG_BUCKETS)
+        )
+        incoming = incoming.persist(StorageLevel.DISK_ONLY)  # read up to three times
+        try:
+            _merged(incoming, spec, path).write.mode("overwrite").parquet(staging)
+        finally:
+            incoming.unpersist()
     if has_files(spark, staging):
         staged = spark.read.schema(stored_schema(spec)).parquet(staging)
         write_partitions(
@@ -99,11 +107,9 @@ def upsert(rows: DataFrame, spec: ServingSpec, path: str, batch: str | int | Non
     remove(spark, staging)
 
 
-def _merged(rows: DataFrame, spec: ServingSpec, path: str) -> DataFrame:
-    spark = rows.sparkSession
-    incoming = last_write(rows.select(*spec.columns), spec).withColumn(
-        "org_bucket", hash_bucket("org_id", ORG_BUCKETS)
-    )
+def _merged(incoming: DataFrame, spec: ServingSpec, path: str) -> DataFrame:
+    """The directories that ``incoming`` touches, with its rows in place of those of equal key."""
+    spark = incoming.sparkSession
     if not has_files(spark, path):
         return incoming
     directories = list(spec.directories)
@@ -111,5 +117,5 @@ def _merged(rows: DataFrame, spec: ServingSpec, path: str) -> DataFrame:
     touched = broadcast_if_small(incoming.select(*directories).distinct())
     current = read_serving(spark, spec, path).join(touched, directories, "left_semi")
     same_key = [current[name].eqNullSafe(incoming[name]) for name in spec.primary_key]
-    kept = current.join(incoming, same_key, "left_anti")
+    kept = current.join(incoming, same_key, "left_anti").select(*incoming.columns)
     return kept.unionByName(incoming)
