@@ -123,8 +123,8 @@ landed AS (
   SELECT * FROM flagged WHERE NOT (dq_event_id_not_null AND dq_unit_when_value)
 ), totals AS (
   SELECT event_date, org_id, service, sum(coalesce(cost_usd_increment, 0)) AS daily_cost_usd,
-    CAST(trunc(sum(CASE WHEN metric = 'requests' THEN coalesce(value_num, 1) ELSE 0 END)) AS BIGINT)
-      AS requests,
+    CAST(trunc(round(sum(CASE WHEN metric = 'requests' THEN coalesce(value_num, 1) ELSE 0 END), 6))
+      AS BIGINT) AS requests,
     sum(CASE WHEN metric = 'cpu_hours' THEN coalesce(value_num, 0) ELSE 0 END) AS cpu_hours,
     sum(CASE WHEN metric = 'storage_gb_hours' THEN coalesce(value_num, 0) ELSE 0 END)
       AS storage_gb_hours,

@@ -47,7 +47,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landing ticket per order; the source file name comes with the scan."""
+    """A landing ticket per order."""
     key = F.col("o_orderkey")
     opened = JULY_2025 + (key % 30) * 86400 + (key % 24) * 3600
     severity = (
@@ -66,7 +66,6 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         null_every("o_orderkey", 9, F.timestamp_seconds(opened + 7200)).alias("resolved_at"),
         null_every("o_orderkey", 8, (key % 8).cast("double")).alias("csat"),
         null_every("o_orderkey", 13, F.col("o_orderstatus") == "F").alias("sla_breached"),
-        F.col("_metadata.file_name").alias("source_file"),
     )
 
 
@@ -128,7 +127,7 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     readable = [null_every("event_id", 83, value).alias(name) for name, value in fields.items()]
     corrupt = F.when(every("event_id", 83), F.concat(F.lit("{bad json "), key.cast("string")))
     return table(spark, sf_dir, "events").select(
-        *readable, corrupt.alias("_corrupt_record"), F.col("_metadata.file_name").alias("source_file")
+        *readable, corrupt.alias("_corrupt_record"), F.lit("events").alias("source_file")
     )
 
 

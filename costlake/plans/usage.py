@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions.rules import Z_SCORE_LIMIT, silver_event_rule, with_event_flags
-from costlake.functions.values import or_zero, parse_double, truncate_to_long
+from costlake.functions.values import or_zero, parse_double, round6, truncate_to_long
 from costlake.operators.dedupe import dedupe_rows
 from costlake.operators.lookups import left_lookup
 from costlake.operators.splits import split
@@ -64,6 +64,9 @@ def _metric_total(metric: str, when_missing: float) -> Column:
 def daily_features(events: DataFrame) -> DataFrame:
     """Totals per org, service and UTC day. A request event without a value counts as one request.
 
+    Requests are a whole number. Their sum is rounded at 6 digits before the fraction is dropped:
+    a sum of doubles may end just below a whole number, depending on the order of the rows.
+
     Needs no org attribute, so it runs on the events before enrichment: that join keeps exactly the
     event rows, and leaving it out avoids a partitioning by org alone that the aggregate would
     otherwise inherit (one task per org, however large).
@@ -79,7 +82,7 @@ def daily_features(events: DataFrame) -> DataFrame:
         F.sum(F.col("anomaly_cost_flag").cast("long")).alias("anomaly_events_count"),
     )
     return totals.withColumns(
-        {"event_date": F.to_date("day.start"), "requests": truncate_to_long("requests")}
+        {"event_date": F.to_date("day.start"), "requests": truncate_to_long(round6("requests"))}
     ).drop("day")
 
 

@@ -161,7 +161,8 @@ class ServingSpec:
         return self.schema.fieldNames()
 
 
-ORG_BUCKETS = 64
+# A year of a mart then has 192 directories; fixed once tables exist.
+ORG_BUCKETS = 16
 BY_DAY = (("event_date", "desc"),)
 BY_DAY_AND_SERVICE = (("event_date", "desc"), ("service", "asc"))
 
