@@ -27,7 +27,7 @@ def truncate_to_long(number: Column | str) -> Column:
     so that one odd event value cannot fail an ANSI cast."""
     number = as_column(number)
     clamped = F.least(F.greatest(number, F.lit(-LONG_EDGE)), F.lit(LONG_EDGE))
-    return F.when(F.isnan(number), F.lit(0.0)).otherwise(clamped).cast("long")
+    return F.when(F.isnan(number), F.lit(0.0)).when(number.isNotNull(), clamped).cast("long")
 
 
 def or_zero(number: Column | str) -> Column:
