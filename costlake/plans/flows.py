@@ -11,19 +11,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costlake.operators.lookups import broadcast_if_small
 from costlake.plans.finance import revenue_by_org_month, split_billing
 from costlake.plans.ingest import ingest
+from costlake.plans.marts import USAGE_MARTS
 from costlake.plans.serving import serving_rows
 from costlake.plans.support import split_tickets, tickets_by_org_day, tickets_by_severity
-from costlake.plans.usage import org_dimension, service_baseline
+from costlake.plans.usage import baseline_of, org_day_costs, org_dimension
 from costlake.session import use_utc
 from costlake.sources.readers import read_declared, stream_landed_events, stream_parquet
 from costlake.sources.schemas import (
     BRONZE_EVENT,
     DAILY_FEATURES,
+    FLAGGED_EVENT,
     GOLD_MARTS,
-    SERVICE_BASELINE,
+    ORG_DAY_COSTS,
     SERVING_TABLES,
+    SILVER_EVENT,
 )
 from costlake.sources.sinks import (
     materialise,
@@ -37,7 +41,9 @@ from costlake.streaming.jobs import (
     DELAY,
     await_all,
     start_bronze,
+    start_features,
     start_gold,
+    start_quarantine_samples,
     start_serving,
     start_silver,
 )
@@ -118,6 +124,32 @@ def run_batch(
     return stats
 
 
+def refresh_baseline(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Cost baseline over all bronze events, reading only the days that changed.
+
+    Costs per org and day are kept as a table. A day is computed again as a whole when it is missing
+    there or has a file at least as new as the newest one known when it was computed. The baseline
+    is then a small aggregate over the cost table instead of over all events ever seen.
+    """
+    events = read_or_empty(spark, f"{lake.bronze}/streaming/usage_events", BRONZE_EVENT)
+    costs_path = f"{lake.silver}/org_day_costs"
+    if not events.isEmpty():
+        # Directory column and file times only: no event data is read for this.
+        written = F.max(F.unix_millis("_metadata.file_modification_time")).alias("written")
+        day_files = events.groupBy("event_date").agg(written)
+        newest = day_files.agg(F.max("written")).first()[0]
+        known = read_or_empty(spark, costs_path, ORG_DAY_COSTS).groupBy("event_date").agg(
+            F.max("files_until").alias("until")
+        )
+        stale = F.col("until").isNull() | (F.col("written") >= F.col("until"))
+        days = day_files.join(known, "event_date", "left").filter(stale).select("event_date")
+        changed = events.join(broadcast_if_small(days), "event_date", "left_semi")
+        costs = org_day_costs(changed).withColumn("files_until", F.lit(newest).cast("long"))
+        write_partitions(costs, costs_path, ["event_date"])
+    baseline = baseline_of(read_or_empty(spark, costs_path, ORG_DAY_COSTS))
+    return materialise(baseline, f"{lake.silver}/service_baseline")
+
+
 def run_streaming(
     spark: SparkSession,
     landed_events: str,
@@ -129,29 +161,36 @@ def run_streaming(
 ) -> DataFrame:
     """Usage events from landing lines to serving, draining each stage; returns its row counts.
 
-    The org dimension and the cost baseline are written once per run: the streams join tables of
-    known size and do not recompute them in every micro-batch.
+    ``max_files`` bounds the landing files per micro-batch. The later stages read whole micro-batches
+    of the stage before: their files cover several days in no order, and splitting them could make
+    rows late. The org dimension and the cost baseline are written once per run, so the streams join
+    tables of known size.
     """
     use_utc(spark)
     landed = stream_landed_events(spark, landed_events, max_files, glob)
     await_all(start_bronze(landed, lake.bronze, lake.checkpoints, delay))
 
-    events = f"{lake.bronze}/streaming/usage_events"
-    customers = f"{lake.bronze}/batch/customers_orgs"
-    orgs = materialise(org_dimension(spark.read.parquet(customers)), f"{lake.silver}/org_dimension")
-    history = read_or_empty(spark, events, BRONZE_EVENT)
-    baseline = materialise(
-        service_baseline(history), f"{lake.silver}/service_baseline"
-    ).select(SERVICE_BASELINE.fieldNames())
-    bronze = stream_parquet(spark, events, BRONZE_EVENT, max_files)
+    customers = spark.read.parquet(f"{lake.bronze}/batch/customers_orgs")
+    orgs = materialise(org_dimension(customers), f"{lake.silver}/org_dimension")
+    bronze = stream_parquet(spark, f"{lake.bronze}/streaming/usage_events", BRONZE_EVENT)
+    await_all(start_silver(bronze, orgs, lake.silver, lake.checkpoints, delay))
+
+    silver = stream_parquet(spark, f"{lake.silver}/events_enriched", SILVER_EVENT)
+    rejects = f"{lake.silver}/quarantine"
+    quarantined = stream_parquet(spark, f"{rejects}/events_quality_issues", FLAGGED_EVENT)
+    baseline = refresh_baseline(spark, lake)
     await_all(
-        start_silver(bronze, orgs, baseline, lake.silver, lake.checkpoints, delay, sample_cap)
+        [
+            start_features(silver, baseline, lake.silver, lake.checkpoints, delay),
+            start_quarantine_samples(
+                quarantined, f"{rejects}/samples", f"{lake.checkpoints}/silver/samples", sample_cap
+            ),
+        ]
     )
 
-    features = stream_parquet(spark, f"{lake.silver}/features_org_daily", DAILY_FEATURES, max_files)
+    features = stream_parquet(spark, f"{lake.silver}/features_org_daily", DAILY_FEATURES)
     await_all(start_gold(features, lake.gold, lake.checkpoints))
-    for table in ("org_daily_usage_by_service", "genai_tokens_by_org_date", "cost_anomaly_mart"):
-        start_table_serving(spark, lake, table).awaitTermination()
+    await_all([start_table_serving(spark, lake, table) for table in USAGE_MARTS])
     return streaming_counts(spark, lake)
 
 

@@ -75,11 +75,11 @@ def ingest_stats(landed: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def with_totals(stats: list[DataFrame]) -> DataFrame:
-    """Stats of several tables, followed by one row that sums them."""
+    """Stats of several tables, with one more row that sums them."""
     tables = reduce(DataFrame.unionByName, stats)
     counts = [name for name in tables.columns if name != "table_name"]
-    totals = tables.agg(F.lit("total").alias("table_name"), *[F.sum(c).alias(c) for c in counts])
-    return tables.unionByName(totals)
+    with_total = tables.rollup("table_name").agg(*[F.sum(name).alias(name) for name in counts])
+    return with_total.fillna("total", ["table_name"])
 
 
 def ingest(

@@ -86,17 +86,25 @@ def daily_features(events: DataFrame) -> DataFrame:
     ).drop("day")
 
 
-def service_baseline(bronze: DataFrame) -> DataFrame:
-    """Mean and sample deviation, per service, of the daily cost of an org. Over all bronze events."""
-    org_days = bronze.groupBy(F.to_date("event_ts").alias("event_date"), "org_id", "service").agg(
+def org_day_costs(bronze: DataFrame) -> DataFrame:
+    """Cost per UTC day, org and service over all bronze events, also those silver rejects."""
+    return bronze.groupBy(F.to_date("event_ts").alias("event_date"), "org_id", "service").agg(
         F.sum(or_zero("cost_usd_increment")).alias("daily_cost_usd")
     )
-    return org_days.groupBy("service").agg(
+
+
+def baseline_of(costs: DataFrame) -> DataFrame:
+    """Mean and sample deviation, per service, of the daily cost of an org."""
+    return costs.groupBy("service").agg(
         F.avg("daily_cost_usd").alias("service_mean_cost"),
         F.stddev_samp("daily_cost_usd").alias("service_stddev_cost"),
     )
 
 
+def service_baseline(bronze: DataFrame) -> DataFrame:
+    return baseline_of(org_day_costs(bronze))
+
+
 def with_z_score(features: DataFrame, baseline: DataFrame, **limits) -> DataFrame:
     """z-score of the daily cost and its flag; 0 where a service has no spread.
 

@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Commit the changes of a micro-batch, not a copy of the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 _local_roots: dict[str, str] = {}

@@ -15,6 +15,7 @@ TYPES = {
     "BOOLEAN": T.BooleanType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
+    "STRINGS": T.ArrayType(T.StringType()),
     "INT_MAP": T.MapType(T.StringType(), T.IntegerType()),
     "BIGINT_MAP": T.MapType(T.StringType(), T.LongType()),
 }
@@ -120,6 +121,23 @@ BRONZE_EVENT = T.StructType(
     ).fields
 )
 
+# Events with their quality flags, as quarantined; and as kept in silver, with org attributes.
+FLAGGED_EVENT = T.StructType(
+    BRONZE_EVENT.fields
+    + typed(
+        """dq_event_id_not_null BOOLEAN, dq_event_id_unique BOOLEAN, dq_cost_min_threshold BOOLEAN,
+           dq_unit_when_value BOOLEAN, anomaly_cost_flag BOOLEAN, dq_violations STRINGS"""
+    ).fields
+)
+
+SILVER_EVENT = T.StructType(
+    FLAGGED_EVENT.fields
+    + typed(
+        """org_name STRING, industry STRING, plan_tier STRING, lifecycle_stage STRING,
+           hq_region STRING, is_enterprise BOOLEAN"""
+    ).fields
+)
+
 ORG_DIMENSION_COLUMNS = [
     "org_id", "org_name", "industry", "plan_tier", "lifecycle_stage", "hq_region", "is_enterprise",
 ]
@@ -131,7 +149,11 @@ DAILY_FEATURES = typed(
        anomaly_zscore_flag BOOLEAN"""
 )
 
-SERVICE_BASELINE = typed("service STRING, service_mean_cost DOUBLE, service_stddev_cost DOUBLE")
+# Daily cost per org and service over all of bronze; ``files_until`` is the newest file
+# counted in, as epoch milliseconds.
+ORG_DAY_COSTS = typed(
+    """org_id STRING, service STRING, daily_cost_usd DOUBLE, files_until BIGINT, event_date DATE"""
+)
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,13 @@ from costlake.plans.marts import USAGE_MARTS, usage_mart
 from costlake.plans.serving import serving_rows
 from costlake.plans.usage import daily_features, enrich_events, split_events, with_z_score
 from costlake.sources.readers import read_declared
-from costlake.sources.schemas import GOLD_MARTS, SERVING_TABLES
+from costlake.sources.schemas import (
+    DAILY_FEATURES,
+    FLAGGED_EVENT,
+    GOLD_MARTS,
+    SERVING_TABLES,
+    SILVER_EVENT,
+)
 from costlake.sources.sinks import upsert
 
 DELAY = "2 days"
@@ -102,8 +108,8 @@ def start_bronze(
 
 
 def features_stream(accepted: DataFrame, baseline: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Dedupe, one-day windows and the z-score lookup in one query. A day is emitted once it is
-    closed: when the watermark has passed its end."""
+    """Dedupe, one-day windows and the z-score lookup in one query, for events that come straight
+    from bronze. A day is emitted once it is closed: when the watermark has passed its end."""
     return with_z_score(daily_features(dedupe_stream(accepted, ["event_id"], delay)), baseline)
 
 
@@ -130,40 +136,52 @@ def start_quarantine_samples(
 def start_silver(
     bronze: DataFrame,
     orgs: DataFrame,
-    baseline: DataFrame,
     silver_root: str,
     checkpoints: str,
     delay: str = DELAY,
-    sample_cap: int | None = None,
     continuous: bool = False,
 ) -> list[StreamingQuery]:
-    """Bronze events to enriched events, daily features, quarantine and quarantine samples.
+    """Bronze events to enriched events and to quarantine.
 
-    ``orgs`` (one row per org) and ``baseline`` are static and should be written tables.
+    ``orgs`` (one row per org) is static and should be a written table.
     """
     accepted, quarantined = split_events(bronze)
     enriched = enrich_events(dedupe_stream(accepted, ["event_id"], delay), orgs)
-    rejects = f"{silver_root}/quarantine"
-    at = f"{checkpoints}/silver"
     return [
         start_append(
-            enriched, f"{silver_root}/events_enriched", f"{at}/events_enriched",
-            "event_date", continuous=continuous,
+            enriched.select(*SILVER_EVENT.fieldNames()), f"{silver_root}/events_enriched",
+            f"{checkpoints}/silver/events_enriched", "event_date", continuous=continuous,
         ),
         start_append(
-            features_stream(accepted, baseline, delay), f"{silver_root}/features_org_daily",
-            f"{at}/features_org_daily", "event_date", continuous=continuous,
-        ),
-        start_append(
-            quarantined, f"{rejects}/events_quality_issues", f"{at}/events_quality_issues",
-            "event_date", continuous=continuous,
-        ),
-        start_quarantine_samples(
-            quarantined, f"{rejects}/samples", f"{at}/samples", sample_cap, continuous
+            quarantined.select(*FLAGGED_EVENT.fieldNames()),
+            f"{silver_root}/quarantine/events_quality_issues",
+            f"{checkpoints}/silver/events_quality_issues", "event_date", continuous=continuous,
         ),
     ]
 
 
+def start_features(
+    silver: DataFrame,
+    baseline: DataFrame,
+    silver_root: str,
+    checkpoints: str,
+    delay: str = DELAY,
+    continuous: bool = False,
+) -> StreamingQuery:
+    """Daily features from a stream over the silver events.
+
+    Those are deduped already, so the events are neither shuffled by id nor kept as dedupe state a
+    second time. Read them without a bound on files: the files of one silver micro-batch cover its
+    days in no order, and a bound could move the watermark past days that are still unread.
+    """
+    totals = daily_features(silver.withWatermark("event_ts", delay))
+    return start_append(
+        with_z_score(totals, baseline).select(*DAILY_FEATURES.fieldNames()),
+        f"{silver_root}/features_org_daily", f"{checkpoints}/silver/features_org_daily",
+        "event_date", continuous=continuous,
+    )
+
+
 def start_gold(
     features: DataFrame, gold_root: str, checkpoints: str, continuous: bool = False
 ) -> list[StreamingQuery]:
