@@ -95,47 +95,41 @@ def customer_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return earlier.unionByName(orgs.withColumn("load_date", F.lit(BATCH_DATE).cast("date")))
 
 
+LANDED_FIELDS = {
+    "event_id": "CASE WHEN event_id % 61 <> 0 THEN CAST(event_id AS STRING) END",
+    "timestamp": """CASE WHEN event_id % 89 = 0 THEN 'not-a-time'
+        ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') END""",
+    "org_id": "CASE WHEN event_id % 71 <> 0 THEN CAST(user_id % 20 AS STRING) END",
+    "service": "CASE WHEN event_type = 'click' THEN 'genai' ELSE event_type END",
+    "region": "concat('region-', user_id % 3)",
+    "resource_id": "concat('res-', user_id)",
+    "metric": "element_at(array(' Requests ', 'CPU_Hours', 'storage_gb_hours '), int(event_id % 3 + 1))",
+    "value": """CASE WHEN event_id % 43 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'bad'
+        ELSE CAST(value AS STRING) END""",
+    "unit": """CASE WHEN event_id % 59 = 0 THEN NULL WHEN event_id % 53 = 0 THEN ' '
+        ELSE element_at(array('count', ' hours', 'gb_hours'), int(event_id % 3 + 1)) END""",
+    "cost_usd_increment": "CASE WHEN event_id % 47 <> 0 THEN value / 10 - 0.5D END",
+    "schema_version": "CASE WHEN event_id % 2 = 1 THEN 2 ELSE 1 END",
+    "genai_tokens": """CASE WHEN event_id % 2 = 1 AND event_type IN ('click', 'purchase')
+        THEN CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) END""",
+    "carbon_kg": "CASE WHEN event_id % 2 = 1 THEN value / 1000 END",
+}
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed event per row of ``events``; some lines are corrupt and carry only their text."""
-    key = F.col("event_id")
-    kind = key % 3
-    service = F.when(F.col("event_type") == "click", "genai").otherwise(F.col("event_type"))
-    tokens = F.regexp_extract("props", "([0-9]+)", 1).cast("long")
-    metric = F.when(kind == 0, " Requests ").when(kind == 1, "CPU_Hours").otherwise("storage_gb_hours ")
-    unit = F.when(kind == 0, "count").when(kind == 1, " hours").otherwise("gb_hours")
-    second_version = key % 2 == 1
-    fields = {
-        "event_id": null_every("event_id", 61, key.cast("string")),
-        "timestamp": F.when(every("event_id", 89), "not-a-time").otherwise(
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        ),
-        "org_id": null_every("event_id", 71, (F.col("user_id") % 20).cast("string")),
-        "service": service,
-        "region": F.concat(F.lit("region-"), (F.col("user_id") % 3).cast("string")),
-        "resource_id": F.concat(F.lit("res-"), F.col("user_id").cast("string")),
-        "metric": metric,
-        "value": null_every(
-            "event_id", 43,
-            F.when(every("event_id", 97), "bad").otherwise(F.col("value").cast("string")),
-        ),
-        "unit": null_every("event_id", 59, F.when(every("event_id", 53), " ").otherwise(unit)),
-        "cost_usd_increment": null_every("event_id", 47, F.col("value") / 10 - 0.5),
-        "schema_version": F.when(second_version, 2).otherwise(1),
-        "genai_tokens": F.when(second_version & service.isin("genai", "purchase"), tokens),
-        "carbon_kg": F.when(second_version, F.col("value") / 1000),
-    }
-    readable = [null_every("event_id", 83, value).alias(name) for name, value in fields.items()]
-    corrupt = F.when(every("event_id", 83), F.concat(F.lit("{bad json "), key.cast("string")))
-    return table(spark, sf_dir, "events").select(
-        *readable, corrupt.alias("_corrupt_record"), F.lit("events").alias("source_file")
+    readable = [f"IF(event_id % 83 <> 0, {rule}, NULL) AS {name}" for name, rule in LANDED_FIELDS.items()]
+    return table(spark, sf_dir, "events").selectExpr(
+        *readable,
+        "IF(event_id % 83 = 0, concat('{bad json ', event_id), NULL) AS _corrupt_record",
+        "'events' AS source_file",
     )
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as text lines."""
-    landed = landed_events(spark, sf_dir)
-    names = [name for name in landed.columns if name not in ("_corrupt_record", "source_file")]
-    return landed.select(F.coalesce("_corrupt_record", F.to_json(F.struct(*names))).alias("value"))
+    line = F.coalesce("_corrupt_record", F.to_json(F.struct(*LANDED_FIELDS)))
+    return landed_events(spark, sf_dir).select(line.alias("value"))
 
 
 def with_times(spark: SparkSession, sf_dir: str) -> DataFrame:
