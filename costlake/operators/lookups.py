@@ -1,4 +1,4 @@
-"""Left lookup joins: facts that must all be kept, against one row per key."""
+"""Joins with a small side whose size is checked: lookups by key, and directory selection."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from costlake.functions.values import hash_bucket
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 FIELD_OVERHEAD_BYTES = 16
+DIRECTORY_LIMIT = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int | None:
@@ -28,10 +29,25 @@ def measured_bytes(df: DataFrame) -> int | None:
     return row["n"] * FIELD_OVERHEAD_BYTES * len(df.columns) + row["text"]
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark for broadcast only when the measured size is within the limit."""
-    size = measured_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit_bytes else df
+def keep_directories(
+    table: DataFrame, wanted: DataFrame, columns: list[str], limit: int = DIRECTORY_LIMIT
+) -> DataFrame:
+    """Rows of a partitioned table whose directory values occur in ``wanted``.
+
+    There are few directories (days, or months by buckets), so their values are listed first and
+    become literals: the scan is planned without the other directories. Beyond ``limit`` of them it is
+    a plain semi join.
+    """
+    listed = wanted.select(*columns).distinct()
+    found = listed.limit(limit + 1).collect()
+    if len(found) > limit:
+        return table.join(listed, columns, "left_semi")
+    for name in columns:
+        table = table.filter(F.col(name).isin({row[name] for row in found if row[name] is not None}))
+    if len(columns) == 1:
+        return table
+    few = table.sparkSession.createDataFrame(found, listed.schema)
+    return table.join(F.broadcast(few), columns, "left_semi")
 
 
 def left_lookup(

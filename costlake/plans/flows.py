@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.operators.lookups import broadcast_if_small
+from costlake.operators.lookups import keep_directories
 from costlake.plans.finance import revenue_by_org_month, split_billing
 from costlake.plans.ingest import ingest
 from costlake.plans.marts import USAGE_MARTS
@@ -78,7 +78,8 @@ def batch_silver(spark: SparkSession, lake: Lake) -> None:
     billing = f"{lake.bronze}/batch/billing_monthly"
     if has_files(spark, billing):
         valid, rejected = split_billing(spark.read.parquet(billing))
-        write_partitions(valid, f"{lake.silver}/billing_monthly_normalized", ["month"])
+        normalised = f"{lake.silver}/billing_monthly_normalized"
+        write_partitions(valid, normalised, ["month"], gather=False)  # laid out by month already
         write_quarantine(rejected, f"{lake.silver}/quarantine/billing")
     tickets = f"{lake.bronze}/batch/support_tickets"
     if has_files(spark, tickets):
@@ -142,8 +143,8 @@ def refresh_baseline(spark: SparkSession, lake: Lake) -> DataFrame:
             F.max("files_until").alias("until")
         )
         stale = F.col("until").isNull() | (F.col("written") >= F.col("until"))
-        days = day_files.join(known, "event_date", "left").filter(stale).select("event_date")
-        changed = events.join(broadcast_if_small(days), "event_date", "left_semi")
+        days = day_files.join(known, "event_date", "left").filter(stale)
+        changed = keep_directories(events, days, ["event_date"])
         costs = org_day_costs(changed).withColumn("files_until", F.lit(newest).cast("long"))
         write_partitions(costs, costs_path, ["event_date"])
     baseline = baseline_of(read_or_empty(spark, costs_path, ORG_DAY_COSTS))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,20 +9,25 @@ from pyspark.sql import types as T
 
 from costlake.functions.values import hash_bucket
 from costlake.operators.dedupe import dedupe_rows
-from costlake.operators.lookups import broadcast_if_small
+from costlake.operators.lookups import keep_directories
 from costlake.sources.schemas import ORG_BUCKETS, ServingSpec
 from costlake.sources.storage import exists, has_files, remove
 
 
 def write_partitions(
-    df: DataFrame, path: str, partition_by: list[str], sort_by: list[Column] | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: list[str],
+    sort_by: list[Column] | None = None,
+    gather: bool = True,
 ) -> None:
     """Replace exactly the partitions present in ``df``; a rerun gives the same table.
 
     Partitions of an earlier run that ``df`` no longer contains stay. The rebalance hint gathers a
     directory's rows into few files, and AQE splits a directory that is too big for one task.
+    Rows that come unshuffled from a table of the same layout need no gathering.
     """
-    laid_out = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    laid_out = df.hint("rebalance", *[F.col(name) for name in partition_by]) if gather else df
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *sort_by)
     (
@@ -80,42 +83,52 @@ def last_write(rows: DataFrame, spec: ServingSpec) -> DataFrame:
     return dedupe_rows(rows, spec.primary_key, sortable)
 
 
-def upsert(rows: DataFrame, spec: ServingSpec, path: str, batch: str | None = None) -> None:
-    """Insert or replace rows by primary key in a serving table.
+def upsert(rows: DataFrame, spec: ServingSpec, path: str) -> None:
+    """Insert or replace rows by primary key in a serving table. One writer per table at a time.
 
     Only the directories that the batch touches are read and rewritten. The merged directories are
-    first written in full to a staging folder named after the batch, then published by dynamic
-    overwrite. A job that dies while publishing is repeated from the staged copy, so old rows
-    cannot be lost between deletion and replacement. ``batch`` must name one batch only.
+    first written in full to a staging folder, then published by dynamic overwrite. If a job dies
+    while publishing, the next upsert first publishes the staged copy again, so old rows cannot be
+    lost between deletion and replacement. The first batch of a table replaces nothing and needs no
+    staging. Repeating a batch changes nothing.
     """
     spark = rows.sparkSession
-    staging = f"{path}__staging/{batch or uuid.uuid4().hex}"
-    if not exists(spark, f"{staging}/_SUCCESS"):
-        incoming = last_write(rows.select(*spec.columns), spec).withColumn(
-            "org_bucket", hash_bucket("org_id", ORG_BUCKETS)
-        )
-        incoming = incoming.persist(StorageLevel.DISK_ONLY)  # read up to three times
-        try:
-            _merged(incoming, spec, path).write.mode("overwrite").parquet(staging)
-        finally:
-            incoming.unpersist()
-    if has_files(spark, staging):
-        staged = spark.read.schema(stored_schema(spec)).parquet(staging)
-        write_partitions(
-            staged, path, list(spec.directories), [F.col("org_id"), *clustering_order(spec)]
-        )
-    remove(spark, staging)
+    staging = f"{path}__staging"
+    finish_staged(spark, spec, path)
+    incoming = last_write(rows.select(*spec.columns), spec).withColumn(
+        "org_bucket", hash_bucket("org_id", ORG_BUCKETS)
+    )
+    if not has_files(spark, path):
+        publish(incoming, spec, path)
+        return
+    incoming = incoming.persist(StorageLevel.DISK_ONLY)  # read three times
+    try:
+        _merged(incoming, spec, path).write.mode("overwrite").parquet(staging)
+    finally:
+        incoming.unpersist()
+    finish_staged(spark, spec, path)
+
+
+def finish_staged(spark: SparkSession, spec: ServingSpec, path: str) -> None:
+    """Publish a completely staged merge. Its success mark goes first: a half-deleted staging folder
+    must not be taken for a complete one."""
+    staging = f"{path}__staging"
+    if exists(spark, f"{staging}/_SUCCESS"):
+        publish(spark.read.schema(stored_schema(spec)).parquet(staging), spec, path)
+        remove(spark, f"{staging}/_SUCCESS")
+        remove(spark, staging)
+
+
+def publish(rows: DataFrame, spec: ServingSpec, path: str) -> None:
+    write_partitions(
+        rows, path, list(spec.directories), [F.col("org_id"), *clustering_order(spec)]
+    )
 
 
 def _merged(incoming: DataFrame, spec: ServingSpec, path: str) -> DataFrame:
     """The directories that ``incoming`` touches, with its rows in place of those of equal key."""
-    spark = incoming.sparkSession
-    if not has_files(spark, path):
-        return incoming
-    directories = list(spec.directories)
-    # At most (months in the batch) x ORG_BUCKETS rows; small enough, it prunes directories.
-    touched = broadcast_if_small(incoming.select(*directories).distinct())
-    current = read_serving(spark, spec, path).join(touched, directories, "left_semi")
+    stored = read_serving(incoming.sparkSession, spec, path)
+    current = keep_directories(stored, incoming, list(spec.directories))
     same_key = [current[name].eqNullSafe(incoming[name]) for name in spec.primary_key]
     kept = current.join(incoming, same_key, "left_anti").select(*incoming.columns)
     return kept.unionByName(incoming)

@@ -5,13 +5,11 @@ A query's checkpoint makes it restartable: a second start goes on where the firs
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from costlake.operators.dedupe import dedupe_stream
-from costlake.operators.lookups import broadcast_if_small
+from costlake.operators.lookups import keep_directories
 from costlake.operators.splits import first_rows
 from costlake.plans.ingest import split_landed_events, with_event_columns
 from costlake.plans.marts import USAGE_MARTS, usage_mart
@@ -196,12 +194,6 @@ def start_gold(
     ]
 
 
-def query_id(spark: SparkSession, checkpoint: str) -> str:
-    """Id that Spark gave the query of this checkpoint; a deleted checkpoint gets a new one."""
-    line = spark.read.text(f"{checkpoint}/metadata").first()[0]
-    return json.loads(line)["id"]
-
-
 def start_serving(
     mart: DataFrame,
     table: str,
@@ -218,13 +210,10 @@ def start_serving(
     spec = SERVING_TABLES[table]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = batch
         if mart_path is not None:
-            days = broadcast_if_small(batch.select("event_date").distinct())
-            rows = read_declared(spark, mart_path, GOLD_MARTS[table]).join(
-                days, "event_date", "left_semi"
-            )
-        upsert(serving_rows(rows, table), spec, path, f"{query_id(spark, checkpoint)}-{batch_id}")
+            whole_mart = read_declared(batch.sparkSession, mart_path, GOLD_MARTS[table])
+            rows = keep_directories(whole_mart, batch, ["event_date"])
+        upsert(serving_rows(rows, table), spec, path)
 
     return start_batches(mart, write, checkpoint, continuous)

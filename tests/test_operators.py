@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from costlake.operators.dedupe import dedupe_rows
-from costlake.operators.lookups import broadcast_if_small, left_lookup, measured_bytes
+from costlake.operators.lookups import keep_directories, left_lookup, measured_bytes
 from costlake.operators.splits import first_rows
 
 
@@ -56,12 +56,18 @@ def test_measured_bytes(spark):
     assert measured_bytes(df.select(F.array("n"))) is None
 
 
-def test_broadcast_needs_a_measured_size(spark):
-    df = spark.range(10)
-    for other, hinted in [(df, True), (df.select("id", F.array("id").alias("a")), False)]:
-        hint = "ResolvedHint" in broadcast_if_small(other)._jdf.queryExecution().analyzed().toString()
-        assert hint is hinted
-    assert "ResolvedHint" not in broadcast_if_small(df, 10)._jdf.queryExecution().analyzed().toString()
+def test_keep_directories(spark, folder):
+    table = spark.range(60).selectExpr("id", "id % 3 AS p", "id % 5 AS q")
+    table.write.partitionBy("p", "q").parquet(f"{folder}/t")
+    stored = spark.read.parquet(f"{folder}/t")
+    wanted = spark.createDataFrame([(0, 1), (2, 4), (2, 4)], "p INT, q INT")
+    expected = [(i,) for i in range(60) if (i % 3, i % 5) in {(0, 1), (2, 4)}]
+    for limit in (10, 1):
+        assert rows(keep_directories(stored, wanted, ["p", "q"], limit).select("id")) == expected
+    one = keep_directories(stored, wanted, ["p"])
+    assert rows(one.select("p").distinct()) == [(0,), (2,)]
+    assert "Join" not in plan(one) and "p#" in plan(one)[plan(one).index("PartitionFilters") :]
+    assert keep_directories(stored, wanted.limit(0), ["p", "q"]).isEmpty()
 
 
 def test_first_rows(spark):

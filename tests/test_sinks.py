@@ -54,6 +54,23 @@ def test_partition_is_one_sorted_file(spark, folder):
     assert [r.v for r in spark.read.parquet(f"{folder}/t").collect()] == list(range(1000))
 
 
+def test_ungathered_write_has_no_shuffle_and_the_same_rows(spark, folder):
+    df = spark.range(10).selectExpr("id % 2 AS p", "id AS v")
+    write_partitions(df, f"{folder}/t", ["p"], gather=False)
+    assert rows(spark.read.parquet(f"{folder}/t").select("v")) == [(i,) for i in range(10)]
+
+
+def test_upsert_prunes_untouched_directories(spark, folder):
+    path = f"{folder}/serving"
+    upsert(usage(spark, ("a", "2025-06-01", "api", 1.0), ("a", "2025-07-01", "api", 2.0)), USAGE, path)
+    incoming = usage(spark, ("a", "2025-07-01", "api", 3.0)).withColumn(
+        "org_bucket", sinks.hash_bucket("org_id", ORG_BUCKETS)
+    )
+    plan = sinks._merged(incoming, USAGE, path)._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan parquet") :]
+    assert "month_bucket" in scan[scan.index("PartitionFilters") :] and "2025-07" in scan
+
+
 def test_clean_rerun_empties_the_quarantine(spark, folder):
     df = spark.range(3)
     write_quarantine(df, f"{folder}/q")
@@ -107,10 +124,11 @@ def test_upsert_survives_a_crash_while_publishing(spark, folder, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(sinks, "write_partitions", lose_partition_and_die)
         with pytest.raises(RuntimeError):
-            upsert(second, USAGE, path, "run-7")
-    upsert(second, USAGE, path, "run-7")
-    assert stored(spark, path) == [("a", "2025-06-01", "api", 1.0), ("a", "2025-06-01", "db", 2.0)]
-    assert not glob(f"{path}__staging/run-7")
+            upsert(second, USAGE, path)
+    upsert(usage(spark, ("b", "2025-06-01", "api", 3.0)), USAGE, path)
+    assert stored(spark, path) == [("a", "2025-06-01", "api", 1.0), ("a", "2025-06-01", "db", 2.0),
+                                   ("b", "2025-06-01", "api", 3.0)]
+    assert not glob(f"{path}__staging")
 
 
 def test_stored_query_reads_one_bucket(spark, folder):

@@ -1,4 +1,5 @@
 import json
+import os
 import shutil
 import time
 from datetime import date, datetime, timedelta
@@ -225,8 +226,11 @@ def test_several_days_in_one_silver_batch_are_not_late(spark, folder, landing):
     days = [f"2025-07-{n:02}" for n in range(1, 21)]
     for number, day in enumerate(days):
         land(landing, f"{number:02}", *[line(f"{day}-{i}", f"{day}T0{i}:00:00Z", org_id="o") for i in range(5)])
+        arrived = time.time() - 100 + number  # files are read in order of arrival
+        os.utime(f"{landing}/{number:02}.jsonl", (arrived, arrived))
     lake = flows.Lake(folder)
     drain_bronze(spark, folder, max_files=1)
+    assert len(bronze_ids(spark, folder)) == 100
     bronze_stream = stream_parquet(spark, f"{lake.bronze}/streaming/usage_events", BRONZE_EVENT)
     orgs = spark.createDataFrame([], ORG_SCHEMA).drop("load_date")
     await_all(start_silver(bronze_stream, orgs, lake.silver, lake.checkpoints))
