@@ -43,12 +43,16 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - started, 3)
         print(f"{name} {seconds[name]}", file=sys.stderr)
 
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     scale = re.search(r"sf([0-9.]+)$", sf_dir)
     result = {
         "metric": "total_query_seconds",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "stream_rows_per_sec": {
+            name: round(events / taken) for name, taken in seconds.items() if name.startswith("stream_")
+        },
         "sf": float(scale.group(1)) if scale else None,
     }
     print(json.dumps(result))

@@ -245,6 +245,7 @@ def _ticket_queries() -> dict[str, str]:
             FROM by_severity""",
         "tickets_mart": "SELECT * FROM ticket_days",
         "tickets_severity_map": severities,
+        "flow_batch_tickets": "SELECT * FROM ticket_days",
         "serving_rows_tickets": "SELECT * FROM ticket_days WHERE org_id IS NOT NULL",
         "serving_q3_tickets_sla": """
             SELECT event_date, ticket_count, sla_breach_rate, csat_avg, low_count, medium_count,
@@ -360,6 +361,7 @@ def _event_queries() -> dict[str, str]:
         "stream_gold_usage": "SELECT * FROM usage",
         "stream_gold_marts": mart_counts,
         "flow_streaming_counts": layer_counts,
+        "flow_streaming_usage": f"SELECT * FROM usage_rows WHERE {CLOSED}",
     }
 
 

@@ -20,6 +20,7 @@ from costlake.checks.views import (
     tickets,
     with_times,
 )
+from costlake.functions.rules import with_event_flags
 from costlake.functions.values import round6
 from costlake.operators.dedupe import dedupe_rows, dedupe_stream
 from costlake.operators.splits import first_rows, require_keys
@@ -340,8 +341,7 @@ FLAGS = [
 
 
 def flagged(spark, sf_dir):
-    accepted, rejected = split_events(bronze_events(spark, sf_dir))
-    return accepted.unionByName(rejected)
+    return with_event_flags(conform_events(bronze_events(spark, sf_dir)))
 
 
 @register
@@ -709,24 +709,57 @@ def stream_late_data(spark, sf_dir):
 # --- flows ------------------------------------------------------------------------------------
 
 
-@register
-def flow_streaming_counts(spark, sf_dir):
-    """Landed lines to serving; row counts of every layer."""
-    lake = flows.Lake(run_folder(spark, "flow-streaming"))
+def once(spark, sf_dir, name, run):
+    """The lake that a flow filled; run on first use, then only read."""
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _published or not has_files(spark, _published[at]):
+        lake = flows.Lake(run_folder(spark, name))
+        run(spark, sf_dir, lake)
+        _published[at] = lake.root
+    return flows.Lake(_published[at])
+
+
+def fill_streaming(spark, sf_dir, lake):
     landed_lines(spark, sf_dir).write.text(f"{lake.root}/landing")
     loads = customer_loads(spark, sf_dir)
     write_partitions(loads, f"{lake.bronze}/batch/customers_orgs", ["load_date"])
-    return flows.run_streaming(spark, f"{lake.root}/landing", lake, max_files=None, glob="*.txt")
+    flows.run_streaming(spark, f"{lake.root}/landing", lake, max_files=None, glob="*.txt")
+
+
+def fill_batch(spark, sf_dir, lake):
+    sources = {"billing_monthly": invoices_landed_twice, "support_tickets": tickets}
+    for name, source in sources.items():
+        path = f"{lake.root}/landing/{LANDING_TABLES[name].file}"
+        source(spark, sf_dir).write.option("header", True).csv(path)
+    flows.run_batch(spark, f"{lake.root}/landing", lake, BATCH_DATE, ",".join(sources))
+
+
+def served_by(spark, lake, name):
+    return read_serving(spark, SERVING_TABLES[name], lake.serving(name)).drop("org_bucket")
+
+
+@register
+def flow_streaming_counts(spark, sf_dir):
+    """Landed lines to serving; row counts of every layer."""
+    return flows.streaming_counts(spark, once(spark, sf_dir, "flow-streaming", fill_streaming))
+
+
+@register
+def flow_streaming_usage(spark, sf_dir):
+    """The usage table that the same flow serves."""
+    lake = once(spark, sf_dir, "flow-streaming", fill_streaming)
+    return served_by(spark, lake, "org_daily_usage_by_service")
 
 
 @register
 def flow_batch_revenue(spark, sf_dir):
-    """Landing CSV to the served revenue table."""
-    lake = flows.Lake(run_folder(spark, "flow-batch"))
-    spec = LANDING_TABLES["billing_monthly"]
-    invoices_landed_twice(spark, sf_dir).write.option("header", True).csv(
-        f"{lake.root}/landing/{spec.file}"
-    )
-    flows.run_batch(spark, f"{lake.root}/landing", lake, BATCH_DATE, spec.name)
-    name = "revenue_by_org_month"
-    return read_serving(spark, SERVING_TABLES[name], lake.serving(name)).drop("org_bucket")
+    """Landing CSV files to the served revenue table."""
+    lake = once(spark, sf_dir, "flow-batch", fill_batch)
+    return served_by(spark, lake, "revenue_by_org_month")
+
+
+@register
+def flow_batch_tickets(spark, sf_dir):
+    """Landing CSV files to the served ticket table. Landing drops tickets without an id."""
+    lake = once(spark, sf_dir, "flow-batch", fill_batch)
+    return with_severity_columns(served_by(spark, lake, "tickets_by_org_date"))

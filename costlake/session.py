@@ -25,13 +25,33 @@ SESSION_CONF = {
 _local_roots: dict[str, str] = {}
 
 
-def build_session(app_name: str = "costlake", master: str | None = None, **conf: str) -> SparkSession:
+PARTITION_BYTES = 256 * 1024 * 1024
+WIDEST_SHUFFLE = 50_000
+
+
+def shuffle_width(input_bytes: int) -> int:
+    """Partitions for a shuffle of so many bytes: 256 MiB each, up to 50,000 of them. Beyond that,
+    tracking the blocks costs more than spilling bigger partitions."""
+    return min(max(200, -(-input_bytes // PARTITION_BYTES)), WIDEST_SHUFFLE)
+
+
+def build_session(
+    app_name: str = "costlake",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the lake's settings; ``conf`` adds to or overrides them.
 
-    Shuffle width is left to the cluster. AQE merges small partitions in batch jobs; a stateful
-    stream keeps the width it was first started with, so set ``spark.sql.shuffle.partitions``
-    before that first start.
+    ``input_bytes`` sizes the shuffles of batch jobs for the biggest table; AQE merges what turns out
+    smaller. A stateful stream keeps the width it was first started with, so set
+    ``spark.sql.shuffle.partitions`` for its micro-batches before that first start.
     """
+    if input_bytes is not None:
+        conf.setdefault(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(shuffle_width(input_bytes)),
+        )
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -4,6 +4,7 @@ from conftest import rows
 from costlake.operators.dedupe import dedupe_rows
 from costlake.operators.lookups import keep_directories, left_lookup, measured_bytes
 from costlake.operators.splits import first_rows
+from costlake.session import shuffle_width
 
 
 def plan(df):
@@ -73,3 +74,9 @@ def test_keep_directories(spark, folder):
 def test_first_rows(spark):
     df = spark.range(100).selectExpr("99 - id AS id")
     assert rows(first_rows(df, 3, ["id"])) == [(0,), (1,), (2,)]
+
+
+def test_shuffle_width():
+    assert shuffle_width(0) == 200
+    assert shuffle_width(100 * 2**30) == 400
+    assert shuffle_width(100 * 2**40) == 50_000
