@@ -44,7 +44,7 @@ from costlake.plans.usage import (
     split_events,
     with_z_score,
 )
-from costlake.session import run_folder, use_utc
+from costlake.session import run_folder, shuffle_width, shuffles_of, use_utc
 from costlake.sources.readers import (
     read_declared,
     read_landing,
@@ -66,7 +66,7 @@ from costlake.sources.sinks import (
     write_partitions,
     write_quarantine,
 )
-from costlake.sources.storage import has_files
+from costlake.sources.storage import has_files, total_bytes
 from costlake.streaming.jobs import (
     await_all,
     features_stream,
@@ -79,13 +79,20 @@ from costlake.streaming.jobs import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
+UNPACKED = 4
 
 
 def register(query: Query, name: str | None = None) -> Query:
-    """Register under the function's name; results are comparable and computed in UTC."""
+    """Register under the function's name; results are comparable and computed in UTC.
+
+    Streams and written tables of a query are shuffled by a width that fits the tables: Parquet
+    unpacks to a few times its size. The session's own setting holds for the returned frame.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(query(use_utc(spark), sf_dir))
+        width = shuffle_width(UNPACKED * total_bytes(spark, sf_dir), least=8)
+        with shuffles_of(use_utc(spark), width):
+            return comparable(query(spark, sf_dir))
 
     REGISTERED[name or query.__name__] = run
     return query

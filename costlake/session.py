@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,10 +31,24 @@ PARTITION_BYTES = 256 * 1024 * 1024
 WIDEST_SHUFFLE = 50_000
 
 
-def shuffle_width(input_bytes: int) -> int:
+def shuffle_width(input_bytes: int, least: int = 200) -> int:
     """Partitions for a shuffle of so many bytes: 256 MiB each, up to 50,000 of them. Beyond that,
     tracking the blocks costs more than spilling bigger partitions."""
-    return min(max(200, -(-input_bytes // PARTITION_BYTES)), WIDEST_SHUFFLE)
+    return min(max(least, -(-input_bytes // PARTITION_BYTES)), WIDEST_SHUFFLE)
+
+
+@contextmanager
+def shuffles_of(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Shuffle width of the jobs run, and of the streams first started, inside the block.
+
+    A stream takes the width along into its checkpoint: its state lives in that many partitions.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def build_session(

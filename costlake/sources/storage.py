@@ -28,6 +28,12 @@ def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
     return False
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below the path."""
+    file_system, hadoop_path = _resolve(spark, path)
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote itself."""
     file_system, hadoop_path = _resolve(spark, path)

@@ -1,10 +1,13 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from conftest import rows
 from costlake.operators.dedupe import dedupe_rows
 from costlake.operators.lookups import keep_directories, left_lookup, measured_bytes
 from costlake.operators.splits import first_rows
-from costlake.session import shuffle_width
+from costlake.session import shuffle_width, shuffles_of
+from costlake.sources.storage import total_bytes
 
 
 def plan(df):
@@ -80,3 +83,21 @@ def test_shuffle_width():
     assert shuffle_width(0) == 200
     assert shuffle_width(100 * 2**30) == 400
     assert shuffle_width(100 * 2**40) == 50_000
+
+
+def test_shuffles_of_restores_the_width(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        with shuffles_of(spark, 3):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+            raise KeyError
+    except KeyError:
+        pass
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_total_bytes(spark, folder):
+    (Path(folder) / "inner").mkdir()
+    for name, size in [("a", 3), ("inner/b", 4)]:
+        (Path(folder) / name).write_bytes(b"x" * size)
+    assert total_bytes(spark, folder) == 7
