@@ -6,8 +6,8 @@ import __spark_entry__ as contract
 from compare import difference, sql_connection
 from conftest import SF_DIR
 
-QUERIES = contract.queries()
 SQL = contract.oracle_sql()
+QUERIES = contract.REGISTERED
 
 
 @pytest.fixture(scope="module")
