@@ -64,7 +64,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.0, most: float
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW) -> np.ndarray:
     """How many documents of each length to take so that their words sum to ``budget`` or, where no
-    subset does, to a little less. Lengths are positive and distinct, counts bound the answer."""
+    subset does, to a number near it. Lengths are positive and distinct, counts bound the answer."""
     order = np.argsort(-lengths, kind="stable")
     sizes, left = lengths[order].astype(object), counts[order].astype(object)
     whole = int((sizes * left).sum())
@@ -84,6 +84,12 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = WIND
     picked = knapsack([int(s) for s in sizes], [int(n) for n in left], rest)
     for i, more in picked.items():
         take[i] += more
+        left[i] -= more
+        rest -= more * sizes[i]
+    # One document too many may come nearer than none.
+    near = [i for i in range(len(sizes)) if left[i] and abs(sizes[i] - rest) < rest]
+    if near:
+        take[min(near, key=lambda i: abs(sizes[i] - rest))] += 1
     answer = np.zeros(len(lengths), dtype=np.int64)
     answer[order] = take.astype(np.int64)
     return answer

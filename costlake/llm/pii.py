@@ -15,7 +15,7 @@ through ``redact`` untouched and are ignored elsewhere.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.llm.common import stored
@@ -38,42 +38,56 @@ SEPARATORS = r"[\s=\"':]+"
 CUE = r"([^\s=\"':]{1,40})(" + SEPARATORS + r")$"
 CONTEXT_CHARS = 56
 
+#: Matches gathered in one array before the next is begun.
+FEW = 16
+
 LEAST_LENGTH = 6
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.8
 ROUNDS = 3
 
 SPANS = "array<struct<start:int,end:int>>"
+MATCHES = "array<struct<start:int,end:int,match:string,before:string>>"
 
 
-def spans_of(text: Column, pattern: str, valid) -> Column:
-    """[(start, end)] in code points of the leftmost non-overlapping matches that are ``valid``.
+def matches_of(text: Column, pattern: str, valid) -> Column:
+    """[(start, end, match, before)] of the ``valid`` among the leftmost non-overlapping matches, in code
+    points; ``before`` is the end of the text since the last match began.
 
     The pieces between the matches and the matches themselves alternate, so their lengths add up to
-    the positions.
+    the positions. Results are gathered in short arrays, as appending copies the whole array.
     """
-    pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(
-        pieces,
-        found,
-        lambda gap, match: F.struct(
-            F.length(gap).alias("gap"),
-            F.coalesce(F.length(match), F.lit(0)).alias("size"),
-            F.coalesce(valid(match), F.lit(False)).alias("ok"),
-        ),
+    pairs = F.zip_with(
+        F.split(text, pattern, -1), found, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match"))
+    )
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit("").alias("last"),
+        F.array().cast(MATCHES).alias("few"), F.array().cast(f"array<{MATCHES}>").alias("full"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
 
     def step(done: Column, x: Column) -> Column:
-        begin = done["at"] + x["gap"]
-        end = begin + x["size"]
-        span = F.struct(begin.alias("start"), end.alias("end"))
+        begin = done["at"] + F.length(x["gap"])
+        end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
+        one = F.struct(
+            begin.alias("start"), end.alias("end"), x["match"].alias("match"),
+            F.substring(F.concat(done["last"], x["gap"]), -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"),
+        )
+        ok, many = F.coalesce(valid(x["match"]), F.lit(False)), F.size(done["few"]) >= FEW
+        few = F.when(ok & many, F.array(one)).when(ok, F.array_append(done["few"], one)).otherwise(done["few"])
+        full = F.when(ok & many, F.array_append(done["full"], done["few"])).otherwise(done["full"])
         return F.struct(
-            end.alias("at"), F.when(x["ok"], F.array_append(done["out"], span)).otherwise(done["out"]).alias("out")
+            end.alias("at"), F.coalesce(x["match"], F.lit("")).alias("last"), few.alias("few"), full.alias("full")
         )
 
-    return F.aggregate(steps, start, step, lambda done: done["out"])
+    return F.aggregate(pairs, start, step, lambda done: F.concat(F.flatten(done["full"]), done["few"]))
+
+
+def spans_of(text: Column, pattern: str, valid) -> Column:
+    """[(start, end)] of the matches that are ``valid``."""
+    return F.transform(
+        matches_of(text, pattern, valid), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))
+    ).cast(SPANS)
 
 
 def digits(match: Column) -> Column:
@@ -82,7 +96,7 @@ def digits(match: Column) -> Column:
 
 #: kind -> (what a text must hold for the pattern to be tried, pattern, test of a match).
 FORMATS = {
-    "email": ("@", EMAIL, lambda m: F.lit(True)),
+    "email": ("@", EMAIL, lambda m: m.isNotNull()),
     "ip": ("[0-9]\\.[0-9]", IP, lambda m: m.rlike(rf"^{PART}(?:\.{PART}){{3}}$")),
     "card": (
         "[0-9][\\x20-]?[0-9]", CARD,
@@ -106,30 +120,44 @@ def _keyed(documents: DataFrame) -> DataFrame:
 def values_in_context(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, end, value, word, cue, entity, key): each identifier-like value with
     what introduces it, whether a fixed format covers it, and whether it has a seed format."""
-    base = F.concat(*[F.col(kind) for kind in FORMATS])
-    scanned = (
+    known = F.transform(
+        F.concat(*[format_spans(F.col("text"), kind) for kind in FORMATS]),
+        lambda k: F.struct(
+            k["start"].alias("start"), k["end"].alias("end"), F.lit(True).alias("known"),
+            F.lit("").alias("value"), F.lit("").alias("context"),
+        ),
+    )
+    values = F.transform(
+        matches_of(F.col("text"), VALUE, lambda m: (F.length(m) >= LEAST_LENGTH) & m.isNotNull()),
+        lambda m: F.struct(
+            m["start"].alias("start"), m["end"].alias("end"), F.lit(False).alias("known"),
+            m["match"].alias("value"), F.lower(m["before"]).alias("context"),
+        ),
+    )
+    events = (
         _keyed(documents.select("doc_id", "text"))
+        .withColumn("row", F.monotonically_increasing_id())
         .filter(F.col("text").rlike("[0-9]"))
-        .withColumns({kind: format_spans(F.col("text"), kind) for kind in FORMATS})
-        .withColumn("known", base)
-        .withColumn("values", spans_of(F.col("text"), VALUE, lambda m: F.length(m) >= LEAST_LENGTH))
+        .select("doc_id", "text_key", "row", F.explode(F.concat(known, values)).alias("e"))
+        .select("doc_id", "text_key", "row", "e.*")
     )
-    exploded = scanned.select("doc_id", "text_key", "text", "known", F.explode("values").alias("v"))
-    start, end = F.col("v.start"), F.col("v.end")
-    context = F.substring("text", F.greatest(start - (CONTEXT_CHARS - 1), F.lit(1)), F.least(start, F.lit(CONTEXT_CHARS)))
-    covered = F.exists("known", lambda k: (k["start"] < end) & (start < k["end"]))
-    value = F.substring("text", start + 1, end - start)
-    return exploded.select(
-        "doc_id", "text_key", start.alias("start"), end.alias("end"), value.alias("value"),
-        F.lower(context).alias("context"), covered.alias("entity"),
-    ).select(
-        "doc_id", "text_key", "start", "end", "value", "entity",
-        F.col("value").rlike(KEY_FORMAT).alias("key"),
-        F.regexp_extract("context", CUE, 1).alias("word"),
-        F.concat(
-            F.regexp_extract("context", CUE, 1),
-            F.regexp_replace(F.regexp_extract("context", CUE, 2), r"\s+", " "),
-        ).alias("cue"),
+    # Known spans that began before a value and reach into it, or begin inside it.
+    along = Window.partitionBy("row").orderBy("start")
+    reach = F.max(F.when(F.col("known"), F.col("end"))).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    upcoming = F.min(F.when(F.col("known"), F.col("start"))).over(along.rowsBetween(0, Window.unboundedFollowing))
+    covered = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(upcoming < F.col("end"), F.lit(False))
+    return (
+        events.withColumn("entity", covered)
+        .filter(~F.col("known"))
+        .select(
+            "doc_id", "text_key", "start", "end", "value", "entity",
+            F.col("value").rlike(KEY_FORMAT).alias("key"),
+            F.regexp_extract("context", CUE, 1).alias("word"),
+            F.concat(
+                F.regexp_extract("context", CUE, 1),
+                F.regexp_replace(F.regexp_extract("context", CUE, 2), r"\s+", " "),
+            ).alias("cue"),
+        )
     )
 
 
@@ -191,35 +219,42 @@ def context_spans(documents: DataFrame) -> DataFrame:
 
 
 def find_pii(documents: DataFrame, keep_text: bool = True) -> DataFrame:
-    """``documents`` (null texts empty) with one array of (start, end) spans for each kind.
+    """``documents`` (null texts empty) with a column ``pii``: an array of (start, end) spans per kind.
 
     Only rows with a digit or an @ are matched; the spans that the method adds are joined by id and
     text hash. Without ``keep_text`` the texts take no part in that join.
     """
     added = stored(context_spans(documents), "pii-spans")
-    spotted = _keyed(documents).withColumns(
-        {kind: format_spans(F.col("text"), kind) for kind in FORMATS}
+    text = F.coalesce("text", F.lit(""))
+    spotted = documents.drop("pii").withColumns(
+        {
+            "text": text,
+            "__key": F.xxhash64(text),
+            "__formats": F.struct(*[format_spans(text, kind).alias(kind) for kind in FORMATS]),
+        }
     )
     if not keep_text:
         spotted = spotted.drop("text")
-    key = added.select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), CONTEXT)
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
+    key = added.select(
+        F.col("doc_id").alias("__added_doc"), F.col("text_key").alias("__added_key"), F.col(CONTEXT).alias("__added")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__added_doc")) & (F.col("__key") == F.col("__added_key"))
+    kinds = [F.col(f"__formats.{kind}").alias(kind) for kind in FORMATS]
+    context = F.coalesce("__added", F.array().cast(SPANS)).alias(CONTEXT)
     return (
         spotted.join(key, same, "left")
-        .withColumn(CONTEXT, F.coalesce(F.col(CONTEXT), F.array().cast(SPANS)))
-        .drop("__doc", "__key", "text_key")
+        .withColumn("pii", F.struct(*kinds, context))
+        .drop("__key", "__formats", "__added_doc", "__added_key", "__added")
     )
 
 
-def report(spans: list[str]) -> Column:
-    """kind:start:end of the given kinds' columns, in that order, joined by commas."""
-    texts = [
-        F.transform(
-            F.col(kind), lambda s, kind=kind: F.concat_ws(":", F.lit(kind), s["start"], s["end"])
-        )
-        for kind in spans
-    ]
-    return F.concat_ws(",", F.concat(*texts))
+def report(kinds: list[str]) -> Column:
+    """kind:start:end of the spans in ``pii``, in the order of ``kinds``, joined by commas."""
+
+    def texts(kind: str) -> Column:
+        return F.transform(f"pii.{kind}", lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
+
+    return F.concat_ws(",", F.concat(*map(texts, kinds)))
 
 
 def redact(documents: DataFrame) -> DataFrame:
@@ -227,19 +262,14 @@ def redact(documents: DataFrame) -> DataFrame:
     the one that begins first is named and the rest of both goes. ``n_chars``, if there, is updated."""
     kinds = [*FORMATS, CONTEXT]
     found = find_pii(documents)
-    tagged = F.array_sort(
-        F.concat(
-            *[
-                F.transform(
-                    F.col(kind),
-                    lambda s, kind=kind: F.struct(
-                        s["start"].alias("start"), s["end"].alias("end"), F.lit(f"[{kind.upper()}]").alias("tag")
-                    ),
-                )
-                for kind in kinds
-            ]
+
+    def tags(kind: str) -> Column:
+        tag = F.lit(f"[{kind.upper()}]").alias("tag")
+        return F.transform(
+            f"pii.{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), tag)
         )
-    )
+
+    tagged = F.array_sort(F.concat(*map(tags, kinds)))
     text = F.col("text")
 
     def step(done: Column, s: Column) -> Column:

@@ -72,7 +72,7 @@ def op6_pii(spark, sf_dir):
     base = list(pii.FORMATS)
     return found.select(
         "doc_id",
-        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in base],
+        *[F.size(f"pii.{kind}").cast("long").alias(f"n_{kind}") for kind in base],
         F.sha2(pii.report(base), 256).alias("base_sha256"),
         pii.report([*base, pii.CONTEXT]).alias("spans"),
     )
