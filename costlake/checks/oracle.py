@@ -306,8 +306,7 @@ def _event_queries() -> dict[str, str]:
         "events_quarantine": QUARANTINED,
         "stream_quarantine": QUARANTINED,
         "stream_quarantine_samples": f"""
-            SELECT event_id, strftime(date_trunc('millisecond', event_ts), '%Y-%m-%d %H:%M:%S.%f')
-                AS event_ts, org_id, service, metric, value, unit,
+            SELECT event_id, strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, org_id, service, metric, value, unit,
               round(cost_usd_increment, 6) AS cost_usd_increment, {VIOLATIONS} AS violations
             FROM rejected""",
         "quarantine_sample": """

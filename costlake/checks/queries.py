@@ -66,7 +66,7 @@ from costlake.sources.sinks import (
     write_partitions,
     write_quarantine,
 )
-from costlake.sources.storage import has_files, total_bytes
+from costlake.sources.storage import has_files, total_bytes, version_of
 from costlake.streaming.jobs import (
     await_all,
     features_stream,
@@ -489,8 +489,9 @@ _published: dict[tuple[str, str, str], str] = {}
 
 
 def served(spark, sf_dir, name):
-    """A stored serving table, published on first use and then only read, as users do."""
-    at = (spark.sparkContext.applicationId, sf_dir, name)
+    """A stored serving table, published on first use and again when the input's files change; else
+    only read, as users do."""
+    at = (spark.sparkContext.applicationId, version_of(spark, sf_dir), name)
     if at not in _published or not has_files(spark, _published[at]):
         path = run_folder(spark, f"serving-{name}")
         upsert(serving.serving_rows(MART_OF_TABLE[name](spark, sf_dir), name), SERVING_TABLES[name], path)
@@ -717,8 +718,8 @@ def stream_late_data(spark, sf_dir):
 
 
 def once(spark, sf_dir, name, run):
-    """The lake that a flow filled; run on first use, then only read."""
-    at = (spark.sparkContext.applicationId, sf_dir, name)
+    """The lake that a flow filled; run on first use and again when the input's files change."""
+    at = (spark.sparkContext.applicationId, version_of(spark, sf_dir), name)
     if at not in _published or not has_files(spark, _published[at]):
         lake = flows.Lake(run_folder(spark, name))
         run(spark, sf_dir, lake)

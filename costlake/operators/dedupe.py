@@ -25,6 +25,11 @@ def dedupe_rows(df: DataFrame, keys: list[str], order_by: list[Column] | None =
     )
 
 
+def total_order(df: DataFrame, names: list[str]) -> list[Column]:
+    """Ascending by each of the names that ``df`` has, so that a rerun keeps the same survivor."""
+    return [F.col(name).asc_nulls_last() for name in names if name in df.columns]
+
+
 def dedupe_stream(
     events: DataFrame,
     keys: list[str],

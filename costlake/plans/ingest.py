@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from costlake.functions.rules import all_present, landed_event_rule
 from costlake.functions.values import parse_double, parse_timestamp
-from costlake.operators.dedupe import dedupe_rows
+from costlake.operators.dedupe import dedupe_rows, total_order
 from costlake.operators.splits import require_keys, split
 from costlake.sources.readers import read_landing
 from costlake.sources.schemas import LANDING_TABLES, TableSpec
@@ -54,8 +54,11 @@ def with_technical_columns(rows: DataFrame, batch_date: str) -> DataFrame:
 
 
 def to_bronze(landed: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows with all required columns, one per natural key."""
-    return dedupe_rows(require_keys(landed, list(spec.required)), list(spec.keys))
+    """Rows with all required columns, one per natural key. Which copy stays depends on the rows alone,
+    not on file order: a rerun must not move a key to another partition and leave the old one behind."""
+    complete = require_keys(landed, list(spec.required))
+    order = total_order(complete, [*spec.schema.fieldNames(), "source_file"])
+    return dedupe_rows(complete, list(spec.keys), order)
 
 
 def ingest_stats(landed: DataFrame, spec: TableSpec) -> DataFrame:

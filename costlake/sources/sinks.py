@@ -11,7 +11,13 @@ from costlake.functions.values import hash_bucket
 from costlake.operators.dedupe import dedupe_rows
 from costlake.operators.lookups import keep_directories
 from costlake.sources.schemas import ORG_BUCKETS, ServingSpec
-from costlake.sources.storage import exists, has_files, remove
+from costlake.sources.storage import exists, has_files, mark, remove
+
+
+#: Optional column of upserted rows: of two versions of a key in one batch the later one is kept.
+WRITTEN_AT = "written_at"
+#: Next to a table whose staged copy is complete.
+COMPLETE = "__staged"
 
 
 def write_partitions(
@@ -74,13 +80,17 @@ def read_serving(spark: SparkSession, spec: ServingSpec, path: str) -> DataFrame
 
 
 def last_write(rows: DataFrame, spec: ServingSpec) -> DataFrame:
-    """One row per primary key. Rows of one batch carry no write order, so the largest wins."""
-    sortable = [
-        F.col(field.name).desc()
-        for field in spec.schema
-        if field.name not in spec.primary_key and not isinstance(field.dataType, T.MapType)
-    ]
-    return dedupe_rows(rows, spec.primary_key, sortable)
+    """One row per primary key: the latest by ``written_at`` if the rows have it, then the largest.
+
+    Every column takes part in the order, maps by their sorted entries, so a batch that is computed
+    again after a lost executor keeps the same rows.
+    """
+    order = [F.col(WRITTEN_AT).desc_nulls_last()] if WRITTEN_AT in rows.columns else []
+    for field in spec.schema:
+        if field.name not in spec.primary_key:
+            is_map = isinstance(field.dataType, T.MapType)
+            order.append((F.sort_array(F.map_entries(field.name)) if is_map else F.col(field.name)).desc())
+    return dedupe_rows(rows, spec.primary_key, order)
 
 
 def upsert(rows: DataFrame, spec: ServingSpec, path: str) -> None:
@@ -89,34 +99,36 @@ def upsert(rows: DataFrame, spec: ServingSpec, path: str) -> None:
     Only the directories that the batch touches are read and rewritten. The merged directories are
     first written in full to a staging folder, then published by dynamic overwrite. If a job dies
     while publishing, the next upsert first publishes the staged copy again, so old rows cannot be
-    lost between deletion and replacement. The first batch of a table replaces nothing and needs no
-    staging. Repeating a batch changes nothing.
+    lost between deletion and replacement. That a staged copy is complete is said by a mark of our own
+    that follows the write; committers need not leave one. The first batch of a table replaces nothing
+    and needs no staging. Repeating a batch changes nothing.
     """
     spark = rows.sparkSession
     staging = f"{path}__staging"
     finish_staged(spark, spec, path)
-    incoming = last_write(rows.select(*spec.columns), spec).withColumn(
-        "org_bucket", hash_bucket("org_id", ORG_BUCKETS)
-    )
+    order = [WRITTEN_AT] if WRITTEN_AT in rows.columns else []
+    latest = last_write(rows.select(*spec.columns, *order), spec).drop(*order)
+    incoming = latest.withColumn("org_bucket", hash_bucket("org_id", ORG_BUCKETS))
     if not has_files(spark, path):
         publish(incoming, spec, path)
         return
     incoming = incoming.persist(StorageLevel.DISK_ONLY)  # read three times
     try:
         _merged(incoming, spec, path).write.mode("overwrite").parquet(staging)
+        mark(spark, f"{path}{COMPLETE}")
     finally:
         incoming.unpersist()
     finish_staged(spark, spec, path)
 
 
 def finish_staged(spark: SparkSession, spec: ServingSpec, path: str) -> None:
-    """Publish a completely staged merge. Its success mark goes first: a half-deleted staging folder
-    must not be taken for a complete one."""
+    """Publish a completely staged merge. Its mark goes first: a half-deleted staging folder must not
+    be taken for a complete one. Without the mark the stored table is still the one before the batch."""
     staging = f"{path}__staging"
-    if exists(spark, f"{staging}/_SUCCESS"):
+    if exists(spark, f"{path}{COMPLETE}"):
         publish(spark.read.schema(stored_schema(spec)).parquet(staging), spec, path)
-        remove(spark, f"{staging}/_SUCCESS")
-        remove(spark, staging)
+        remove(spark, f"{path}{COMPLETE}")
+    remove(spark, staging)
 
 
 def publish(rows: DataFrame, spec: ServingSpec, path: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -40,6 +42,22 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file, to say that something is complete."""
+    file_system, hadoop_path = _resolve(spark, path)
+    file_system.create(hadoop_path, True).close()
+
+
+def version_of(spark: SparkSession, path: str) -> str:
+    """Changes with the names, sizes and times of the files directly below the path and one below."""
+    file_system, hadoop_path = _resolve(spark, path)
+    found = []
+    for status in file_system.listStatus(hadoop_path):
+        below = file_system.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}" for s in below]
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The Parquet table at the path, or an empty typed frame if nothing was written yet."""
     if has_files(spark, path):

@@ -26,6 +26,8 @@ from costlake.sources.schemas import (
 from costlake.sources.sinks import upsert
 
 DELAY = "2 days"
+#: JSON keeps times to the microsecond, as the tables do.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 SAMPLE_COLUMNS = [
     "event_id", "event_ts", "org_id", "service", "metric", "value", "unit", "cost_usd_increment",
     "dq_violations", "source_file",
@@ -52,6 +54,8 @@ def start_append(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(continuous))
     )
+    if file_format == "json":
+        writer = writer.option("timestampFormat", JSON_TIME)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     return writer.start(path)
@@ -125,7 +129,7 @@ def start_quarantine_samples(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         first_rows(batch, cap, ["event_id", "event_ts", "org_id"]).write.mode("overwrite").json(
-            f"{path}/batch={batch_id}"
+            f"{path}/batch={batch_id}", timestampFormat=JSON_TIME
         )
 
     return start_batches(sample, write, checkpoint, continuous)

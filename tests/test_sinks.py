@@ -2,6 +2,7 @@ from datetime import date
 from glob import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 import costlake.sources.sinks as sinks
 from conftest import rows
@@ -131,6 +132,26 @@ def test_upsert_survives_a_crash_while_publishing(spark, folder, monkeypatch):
     assert not glob(f"{path}__staging")
 
 
+def test_upsert_needs_no_success_mark_of_the_committer(spark, folder):
+    path, setting = f"{folder}/serving", "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set(setting, "false")
+    try:
+        upsert(usage(spark, ("a", "2025-06-01", "api", 1.0)), USAGE, path)
+        upsert(usage(spark, ("a", "2025-06-01", "api", 5.0)), USAGE, path)
+    finally:
+        hadoop.unset(setting)
+    assert stored(spark, path) == [("a", "2025-06-01", "api", 5.0)]
+    assert not glob(f"{path}__*")
+
+
+def test_last_write_keeps_the_later_version(spark):
+    rows = usage(spark, ("a", "2025-06-01", "api", 9.0)).withColumn("written_at", F.lit(1)).unionByName(
+        usage(spark, ("a", "2025-06-01", "api", 2.0)).withColumn("written_at", F.lit(2))
+    )
+    assert [r.daily_cost_usd for r in sinks.last_write(rows, USAGE).collect()] == [2.0]
+
+
 def test_stored_query_reads_one_bucket(spark, folder):
     path = f"{folder}/serving"
     many = [(f"org{i}", "2025-07-02", "api", float(i)) for i in range(4 * ORG_BUCKETS)]
