@@ -24,6 +24,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def ranks_path() -> str:
+    """The same vocabulary as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 @register
 def op1_mix_sources(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -53,7 +60,7 @@ def op3_ngram_lm(spark, sf_dir):
 
 @register
 def op4_pack(spark, sf_dir):
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), ranks=ranks_path())
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

@@ -7,7 +7,7 @@ import pytest
 from costlake.llm import embeddings, language, line_rules, mixing, ngram_lm, packing, pii, quality, simhash, toxicity
 from costlake.llm.components import components
 from costlake.llm.elias_fano import EliasFano, Trie, mapped
-from costlake.llm.queries import tokenizer_path
+from costlake.llm.queries import ranks_path, tokenizer_path
 from costlake.llm.words import hash_words
 
 SCHEMA = (
@@ -123,9 +123,13 @@ def test_pack(spark, docs, none):
     assert packing.pack(none, tokenizer_path()).count() == 0
 
 
-def test_pieces_encode_like_the_whole():
-    encode = packing.Encoder(tokenizer_path())
-    texts = ["", " ", "  two  spaces ", "a b\n c\td", "x<|endoftext|> y <|endoftext|>", "é ü  z 12 345", "a\x1c b"]
+RANDOM = ["".join(np.random.default_rng(i).choice(list("aZé1 .\n\t'*|\u0300ñ😀_-"), 80)) for i in range(300)]
+
+
+@pytest.mark.parametrize("ranked", [False, True])
+def test_pieces_encode_like_the_whole(ranked):
+    encode = packing.Encoder(tokenizer_path(), ranks_path() if ranked else None)
+    texts = ["don't we'll 'S", "a\u00a0 b\u2003c \u200bd", "\U0001f600 x\ud7ff", "12ab34 a_b (c)", *RANDOM, "", " ", "  two  spaces ", "a b\n c\td", "x<|endoftext|> y <|endoftext|>", "é ü  z 12 345", "a\x1c b"]
     for text, found in zip(texts, encode.encode(texts)):
         whole = encode.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(found, "<u4").tolist() == whole
