@@ -13,6 +13,7 @@ length is cut into as many pieces as it takes, each of which lies in one window.
 
 from __future__ import annotations
 
+import re
 import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -86,6 +87,8 @@ class Encoder:
 
     @staticmethod
     def pieces(text: str) -> list[str]:
+        if "\0" not in text and not _SPACE_BY_SPACE.search(text):
+            return text.replace(" ", "\0 ").split("\0")
         parts = text.split(" ")
         out = [parts[0]]
         for part in parts[1:]:
@@ -99,19 +102,22 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
         known = self.known
-        new = list(dict.fromkeys(p for parts in cut for p in parts if p not in known))
+        new = list(set().union(*cut) - known.keys())
         fresh = {}
         for start in range(0, len(new), 20_000):
             some = new[start : start + 20_000]
             for piece, got in zip(some, self.ids_of(some)):
                 fresh[piece] = struct.pack(f"<{len(got)}I", *got)
-        for piece, ids in fresh.items():
-            if len(known) >= CACHE:
-                break
-            if len(piece) <= 40:
-                known[piece] = ids
-        return [b"".join([known[p] if p in known else fresh[p] for p in parts]) for parts in cut]
+        known.update(fresh)
+        out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        full = len(known) > CACHE
+        for piece in fresh:
+            if full or len(piece) > 40:
+                del known[piece]
+        return out
+
 
+_SPACE_BY_SPACE = re.compile(r"\s | \s|^ | $")
 
 _encoders: dict[tuple, Encoder] = {}
 
