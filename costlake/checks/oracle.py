@@ -358,9 +358,14 @@ def _event_queries() -> dict[str, str]:
             SELECT event_date, org_id, service, z_score, anomaly_zscore_flag FROM features
             WHERE {CLOSED}""",
         "stream_gold_usage": "SELECT * FROM usage",
+        "stream_gold_genai": "SELECT * FROM genai",
+        "stream_gold_anomaly": "SELECT * FROM anomalies",
         "stream_gold_marts": mart_counts,
         "flow_streaming_counts": layer_counts,
         "flow_streaming_usage": f"SELECT * FROM usage_rows WHERE {CLOSED}",
+        "flow_streaming_genai": f"SELECT * FROM genai_rows WHERE {CLOSED}",
+        "flow_streaming_anomaly": f"{anomaly_rows} AND {CLOSED}",
+        "stream_rows_accounted": "SELECT 2 * count(*) AS rows_accounted FROM landed",
     }
 
 

@@ -67,6 +67,7 @@ from costlake.sources.sinks import (
     write_quarantine,
 )
 from costlake.sources.storage import has_files, total_bytes, version_of
+from costlake.streaming.counts import dropped_rows
 from costlake.streaming.jobs import (
     await_all,
     features_stream,
@@ -86,11 +87,12 @@ def register(query: Query, name: str | None = None) -> Query:
     """Register under the function's name; results are comparable and computed in UTC.
 
     Streams and written tables of a query are shuffled by a width that fits the tables: Parquet
-    unpacks to a few times its size. The session's own setting holds for the returned frame.
+    unpacks to a few times its size. The returned frame starts its shuffles at the same width.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         width = shuffle_width(UNPACKED * total_bytes(spark, sf_dir), least=8)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
         with shuffles_of(use_utc(spark), width):
             return comparable(query(spark, sf_dir))
 
@@ -576,6 +578,25 @@ def stream_bronze_events(spark, sf_dir):
     return read_back(spark, f"{root}/bronze/streaming/usage_events", BRONZE_EVENT, BRONZE_KEPT)
 
 
+@register
+def stream_rows_accounted(spark, sf_dir):
+    """Landed lines, each in two files, with a bound on files per micro-batch. Which rows are late then
+    depends on the order of the files, but kept, rejected, late and doubled rows are all there are."""
+    root = run_folder(spark, "stream-accounted")
+    for copy in ("a", "b"):
+        landed_lines(spark, sf_dir).repartition(3).write.text(f"{root}/landing/{copy}")
+    lines = stream_landed_events(spark, f"{root}/landing/*", 2, "*.txt")
+    with dropped_rows(spark) as dropped:
+        left_out = dropped.of(await_all(start_bronze(lines, f"{root}/bronze", f"{root}/checkpoints")))
+    tables = {
+        "kept": f"{root}/bronze/streaming/usage_events",
+        "rejected": f"{root}/bronze/quarantine/usage_events_invalid",
+    }
+    return verify_counts(spark, tables).agg(
+        (F.coalesce(F.sum("total_rows"), F.lit(0)) + F.lit(sum(left_out))).alias("rows_accounted")
+    )
+
+
 @register
 def stream_quarantine(spark, sf_dir):
     """Quality failures of the silver step; as in batch, taken before dedupe."""
@@ -661,6 +682,18 @@ def stream_gold_usage(spark, sf_dir):
     return read_declared(spark, f"{streamed_gold(spark, sf_dir)}/{name}", GOLD_MARTS[name])
 
 
+@register
+def stream_gold_genai(spark, sf_dir):
+    name = "genai_tokens_by_org_date"
+    return read_declared(spark, f"{streamed_gold(spark, sf_dir)}/{name}", GOLD_MARTS[name])
+
+
+@register
+def stream_gold_anomaly(spark, sf_dir):
+    name = "cost_anomaly_mart"
+    return read_declared(spark, f"{streamed_gold(spark, sf_dir)}/{name}", GOLD_MARTS[name])
+
+
 @register
 def stream_gold_marts(spark, sf_dir):
     """Rows of the three marts that one feature stream fans out to."""
@@ -759,6 +792,18 @@ def flow_streaming_usage(spark, sf_dir):
     return served_by(spark, lake, "org_daily_usage_by_service")
 
 
+@register
+def flow_streaming_genai(spark, sf_dir):
+    lake = once(spark, sf_dir, "flow-streaming", fill_streaming)
+    return served_by(spark, lake, "genai_tokens_by_org_date")
+
+
+@register
+def flow_streaming_anomaly(spark, sf_dir):
+    lake = once(spark, sf_dir, "flow-streaming", fill_streaming)
+    return served_by(spark, lake, "cost_anomaly_mart")
+
+
 @register
 def flow_batch_revenue(spark, sf_dir):
     """Landing CSV files to the served revenue table."""

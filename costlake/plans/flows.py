@@ -37,6 +37,7 @@ from costlake.sources.sinks import (
     write_quarantine,
 )
 from costlake.sources.storage import has_files, read_or_empty
+from costlake.streaming.counts import dropped_rows
 from costlake.streaming.jobs import (
     DELAY,
     await_all,
@@ -162,14 +163,16 @@ def run_streaming(
 ) -> DataFrame:
     """Usage events from landing lines to serving, draining each stage; returns its row counts.
 
-    ``max_files`` bounds the landing files per micro-batch. The later stages read whole micro-batches
+    The counts include ``dropped/late`` and ``dropped/copies``: landed events that this run left out
+    because they were below the watermark, or equal in id to one that was kept. ``max_files`` bounds the landing files per micro-batch. The later stages read whole micro-batches
     of the stage before: their files cover several days in no order, and splitting them could make
     rows late. The org dimension and the cost baseline are written once per run, so the streams join
     tables of known size.
     """
     use_utc(spark)
     landed = stream_landed_events(spark, landed_events, max_files, glob)
-    await_all(start_bronze(landed, lake.bronze, lake.checkpoints, delay))
+    with dropped_rows(spark) as dropped:
+        late, copies = dropped.of(await_all(start_bronze(landed, lake.bronze, lake.checkpoints, delay)))
 
     customers = spark.read.parquet(f"{lake.bronze}/batch/customers_orgs")
     orgs = materialise(org_dimension(customers), f"{lake.silver}/org_dimension")
@@ -192,7 +195,9 @@ def run_streaming(
     features = stream_parquet(spark, f"{lake.silver}/features_org_daily", DAILY_FEATURES)
     await_all(start_gold(features, lake.gold, lake.checkpoints))
     await_all([start_table_serving(spark, lake, table) for table in USAGE_MARTS])
-    return streaming_counts(spark, lake)
+    left_out = [("dropped/late", late), ("dropped/copies", copies)]
+    counts = streaming_counts(spark, lake)
+    return counts.unionByName(spark.createDataFrame(left_out, counts.schema))
 
 
 def start_table_serving(spark: SparkSession, lake: Lake, table: str, continuous: bool = False):

@@ -6,8 +6,10 @@ A query's checkpoint makes it restartable: a second start goes on where the firs
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from costlake.functions.values import hash_bucket
 from costlake.operators.dedupe import dedupe_stream
 from costlake.operators.lookups import keep_directories
 from costlake.operators.splits import first_rows
@@ -26,6 +28,8 @@ from costlake.sources.schemas import (
 from costlake.sources.sinks import upsert
 
 DELAY = "2 days"
+#: Files that one micro-batch writes per directory at most, when its rows come out of a shuffle.
+FILES_PER_DIRECTORY = 16
 #: JSON keeps times to the microsecond, as the tables do.
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 SAMPLE_COLUMNS = [
@@ -61,6 +65,16 @@ def start_append(
     return writer.start(path)
 
 
+def gather(stream: DataFrame, directory: str, item: str, most: int = FILES_PER_DIRECTORY) -> DataFrame:
+    """Rows of a directory in at most ``most`` tasks, so that a micro-batch adds at most that many
+    files to it. Left as they come out of a stateful step, every state partition would add one.
+
+    Rows are dealt by ``item``, so a day that holds most rows is still written by ``most`` tasks. Raise
+    it for a first run over a long history: it bounds the tasks that write one day, not the rows.
+    """
+    return stream.repartition(F.col(directory), hash_bucket(item, most))
+
+
 def start_batches(stream: DataFrame, write, checkpoint: str, continuous: bool = False) -> StreamingQuery:
     """Hand every micro-batch to ``write(batch, batch_id)`` as a static frame."""
     return (
@@ -77,16 +91,6 @@ def await_all(queries: list[StreamingQuery]) -> list[StreamingQuery]:
     return queries
 
 
-def late_rows_dropped(queries: list[StreamingQuery]) -> int:
-    """Rows below the watermark, as counted by the state operators of the kept progress reports."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for query in queries
-        for report in query.recentProgress
-        for operator in report.stateOperators
-    )
-
-
 def start_bronze(
     landed: DataFrame,
     bronze_root: str,
@@ -99,7 +103,7 @@ def start_bronze(
     deduped = dedupe_stream(valid, ["event_id"], delay, spread_by="source_file")
     return [
         start_append(
-            deduped, f"{bronze_root}/streaming/usage_events", f"{checkpoints}/bronze/usage_events",
+            gather(deduped, "event_date", "event_id"), f"{bronze_root}/streaming/usage_events", f"{checkpoints}/bronze/usage_events",
             "event_date", continuous=continuous,
         ),
         start_append(
@@ -112,7 +116,8 @@ def start_bronze(
 def features_stream(accepted: DataFrame, baseline: DataFrame, delay: str = DELAY) -> DataFrame:
     """Dedupe, one-day windows and the z-score lookup in one query, for events that come straight
     from bronze. A day is emitted once it is closed: when the watermark has passed its end."""
-    return with_z_score(daily_features(dedupe_stream(accepted, ["event_id"], delay)), baseline)
+    deduped = dedupe_stream(accepted, ["event_id"], delay, spread_by="source_file")
+    return with_z_score(daily_features(deduped), baseline)
 
 
 def start_quarantine_samples(
@@ -151,7 +156,8 @@ def start_silver(
     enriched = enrich_events(dedupe_stream(accepted, ["event_id"], delay), orgs)
     return [
         start_append(
-            enriched.select(*SILVER_EVENT.fieldNames()), f"{silver_root}/events_enriched",
+            gather(enriched.select(*SILVER_EVENT.fieldNames()), "event_date", "event_id"),
+            f"{silver_root}/events_enriched",
             f"{checkpoints}/silver/events_enriched", "event_date", continuous=continuous,
         ),
         start_append(
@@ -177,8 +183,9 @@ def start_features(
     days in no order, and a bound could move the watermark past days that are still unread.
     """
     totals = daily_features(silver.withWatermark("event_ts", delay))
+    scored = with_z_score(totals, baseline).select(*DAILY_FEATURES.fieldNames())
     return start_append(
-        with_z_score(totals, baseline).select(*DAILY_FEATURES.fieldNames()),
+        gather(scored, "event_date", "org_id"),
         f"{silver_root}/features_org_daily", f"{checkpoints}/silver/features_org_daily",
         "event_date", continuous=continuous,
     )

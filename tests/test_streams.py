@@ -22,10 +22,11 @@ from costlake.sources.schemas import (
 )
 from costlake.sources.sinks import materialise, read_serving
 from costlake.streaming import jobs
+from costlake.streaming.counts import dropped_rows
 from costlake.streaming.jobs import (
     await_all,
     features_stream,
-    late_rows_dropped,
+    gather,
     start_append,
     start_bronze,
     start_features,
@@ -94,10 +95,33 @@ def test_late_rows_are_dropped_and_counted(spark, folder, landing):
     for name, at in [("1", "2025-07-01"), ("2", "2025-07-20"), ("3", "2025-07-21")]:
         land(landing, name, line(name, f"{at}T12:00:00Z"))
         drain_bronze(spark, folder)
-    land(landing, "late", line("late", "2025-07-02T12:00:00Z"), line("recent", "2025-07-20T13:00:00Z"))
-    queries = drain_bronze(spark, folder)
+    for number in range(3):
+        land(landing, f"late{number}", line(f"late{number}", "2025-07-02T12:00:00Z"))
+    land(landing, "recent", line("recent", "2025-07-20T13:00:00Z"), line("recent", "2025-07-20T13:00:00Z"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1)  # the count needs no more
+    try:
+        with dropped_rows(spark) as dropped:
+            queries = drain_bronze(spark, folder, max_files=1)
+            assert dropped.of(queries) == (3, 1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert bronze_ids(spark, folder) == ["1", "2", "3", "recent"]
-    assert late_rows_dropped(queries[:1]) == 1
+
+
+def test_files_of_a_micro_batch_do_not_grow_with_the_shuffle_width(spark, folder):
+    events = [{"event_id": f"e{n}"} for n in range(300)]
+    bronze(spark, *events).write.parquet(f"{folder}/source")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for width in (4, 24):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            deduped = dedupe_stream(stream_parquet(spark, f"{folder}/source", BRONZE_EVENT), ["event_id"])
+            gathered = gather(deduped, "event_date", "event_id", most=2)
+            start_append(gathered, f"{folder}/out{width}", f"{folder}/ckp{width}", "event_date").awaitTermination()
+            assert len(glob(f"{folder}/out{width}/event_date=*/*.parquet")) <= 2
+            assert read_declared(spark, f"{folder}/out{width}", BRONZE_EVENT).count() == 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_hot_id_is_spread_and_kept_once(spark, folder):
@@ -211,6 +235,7 @@ def test_whole_streaming_flow(spark, folder, landing):
     for _ in range(2):  # the rerun finds nothing new
         counts = dict(rows(flows.run_streaming(spark, landing, lake, sample_cap=10)))
         assert not counts.pop("bronze/usage_events_invalid")
+        assert (counts.pop("dropped/late"), counts.pop("dropped/copies")) == (0, 0)
         assert counts == {
             "bronze/usage_events": 9, "silver/events_enriched": 8, "silver/distinct_event_ids": 8,
             "silver/features_org_daily": 5, "silver/events_quality_issues": 1,
