@@ -363,6 +363,7 @@ def _event_queries() -> dict[str, str]:
         "stream_gold_marts": mart_counts,
         "flow_streaming_counts": layer_counts,
         "flow_streaming_usage": f"SELECT * FROM usage_rows WHERE {CLOSED}",
+        "flow_bounded_usage": f"SELECT * FROM usage_rows WHERE {CLOSED}",
         "flow_streaming_genai": f"SELECT * FROM genai_rows WHERE {CLOSED}",
         "flow_streaming_anomaly": f"{anomaly_rows} AND {CLOSED}",
         "stream_rows_accounted": "SELECT 2 * count(*) AS rows_accounted FROM landed",

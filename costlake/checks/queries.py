@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -760,11 +761,11 @@ def once(spark, sf_dir, name, run):
     return flows.Lake(_published[at])
 
 
-def fill_streaming(spark, sf_dir, lake):
+def fill_streaming(spark, sf_dir, lake, **bounds):
     landed_lines(spark, sf_dir).write.text(f"{lake.root}/landing")
     loads = customer_loads(spark, sf_dir)
     write_partitions(loads, f"{lake.bronze}/batch/customers_orgs", ["load_date"])
-    flows.run_streaming(spark, f"{lake.root}/landing", lake, max_files=None, glob="*.txt")
+    flows.run_streaming(spark, f"{lake.root}/landing", lake, max_files=None, glob="*.txt", **bounds)
 
 
 def fill_batch(spark, sf_dir, lake):
@@ -792,6 +793,13 @@ def flow_streaming_usage(spark, sf_dir):
     return served_by(spark, lake, "org_daily_usage_by_service")
 
 
+@register
+def flow_bounded_usage(spark, sf_dir):
+    """The same table when silver takes bronze in several micro-batches."""
+    bounded = partial(fill_streaming, silver_files=100)
+    return served_by(spark, once(spark, sf_dir, "flow-bounded", bounded), "org_daily_usage_by_service")
+
+
 @register
 def flow_streaming_genai(spark, sf_dir):
     lake = once(spark, sf_dir, "flow-streaming", fill_streaming)

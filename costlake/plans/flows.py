@@ -160,14 +160,17 @@ def run_streaming(
     max_files: int | None = 50,
     sample_cap: int | None = None,
     glob: str = "*.jsonl",
+    silver_files: int | None = 1000,
 ) -> DataFrame:
     """Usage events from landing lines to serving, draining each stage; returns its row counts.
 
     The counts include ``dropped/late`` and ``dropped/copies``: landed events that this run left out
-    because they were below the watermark, or equal in id to one that was kept. ``max_files`` bounds the landing files per micro-batch. The later stages read whole micro-batches
-    of the stage before: their files cover several days in no order, and splitting them could make
-    rows late. The org dimension and the cost baseline are written once per run, so the streams join
-    tables of known size.
+    because they were below the watermark, or equal in id to one that was kept. ``max_files`` bounds the
+    landing files per micro-batch, ``silver_files`` the bronze files. Bronze removed the copies, so
+    silver keeps no state and its bound changes no result. The features read whole micro-batches of
+    silver: their files cover several days in no order, and splitting them could make rows late; what
+    they hold is one row per org, service and open day. The org dimension and the cost baseline are
+    written once per run, so the streams join tables of known size.
     """
     use_utc(spark)
     landed = stream_landed_events(spark, landed_events, max_files, glob)
@@ -176,8 +179,8 @@ def run_streaming(
 
     customers = spark.read.parquet(f"{lake.bronze}/batch/customers_orgs")
     orgs = materialise(org_dimension(customers), f"{lake.silver}/org_dimension")
-    bronze = stream_parquet(spark, f"{lake.bronze}/streaming/usage_events", BRONZE_EVENT)
-    await_all(start_silver(bronze, orgs, lake.silver, lake.checkpoints, delay))
+    bronze = stream_parquet(spark, f"{lake.bronze}/streaming/usage_events", BRONZE_EVENT, silver_files)
+    await_all(start_silver(bronze, orgs, lake.silver, lake.checkpoints, delay, dedupe=False))
 
     silver = stream_parquet(spark, f"{lake.silver}/events_enriched", SILVER_EVENT)
     rejects = f"{lake.silver}/quarantine"

@@ -147,13 +147,18 @@ def start_silver(
     checkpoints: str,
     delay: str = DELAY,
     continuous: bool = False,
+    dedupe: bool = True,
 ) -> list[StreamingQuery]:
     """Bronze events to enriched events and to quarantine.
 
-    ``orgs`` (one row per org) is static and should be a written table.
+    ``orgs`` (one row per org) is static and should be a written table. Without ``dedupe`` the ids are
+    taken to be distinct, as ``start_bronze`` leaves them: both queries are then stateless, no row can be
+    late, and ``bronze`` may be bounded in any file order.
     """
     accepted, quarantined = split_events(bronze)
-    enriched = enrich_events(dedupe_stream(accepted, ["event_id"], delay), orgs)
+    if dedupe:
+        accepted = dedupe_stream(accepted, ["event_id"], delay, spread_by="source_file")
+    enriched = enrich_events(accepted, orgs)
     return [
         start_append(
             gather(enriched.select(*SILVER_EVENT.fieldNames()), "event_date", "event_id"),

@@ -268,6 +268,24 @@ def test_several_days_in_one_silver_batch_are_not_late(spark, folder, landing):
     assert got == [(date.fromisoformat(day), 5) for day in days[:9]]
 
 
+def test_bounded_silver_equals_unbounded(spark, folder, landing):
+    days = [f"2025-07-{n:02}" for n in range(1, 9)]
+    for day in days:
+        land(landing, day, *[line(f"{day}-{i % 6}", f"{day}T0{i}:00:00Z", org_id="o") for i in range(8)])
+    drain_bronze(spark, folder, max_files=None)
+    path = f"{folder}/bronze/streaming/usage_events"
+    orgs = spark.createDataFrame([], ORG_SCHEMA).drop("load_date")
+    got = []
+    for name, bound, options in [("one", None, {}), ("many", 1, {"dedupe": False})]:
+        stream = stream_parquet(spark, path, BRONZE_EVENT, bound)
+        queries = await_all(start_silver(stream, orgs, f"{folder}/{name}", f"{folder}/ckp/{name}", **options))
+        batches = queries[0].lastProgress["batchId"]
+        assert batches > 1 if bound else batches <= 1
+        silver = read_declared(spark, f"{folder}/{name}/events_enriched", SILVER_EVENT)
+        got.append(rows(silver.select("event_id", "event_ts", "org_id", "event_date")))
+    assert len(got[0]) == 48 and got[0] == got[1]
+
+
 def test_baseline_refresh_reads_changed_days_and_equals_the_full_one(spark, folder):
     lake = flows.Lake(folder)
     path = f"{lake.bronze}/streaming/usage_events"
