@@ -107,19 +107,19 @@ def whole_groups(
         yield from cut(True)
 
 
-def in_slices(rows: DataFrame, key: list[str], item: str, most: int) -> DataFrame:
+def in_slices(rows: DataFrame, key: list[str], item: str, most: int, least: int = 1) -> DataFrame:
     """Split groups of over ``most`` rows so that every pair of a group still meets once.
 
     A group of S slices becomes the tasks (i, j), i <= j < S. A row of slice s goes to the S tasks
     that contain s; task (i, i) compares all its rows, task (i, j) only rows of i with rows of j.
-    Adds ``slice``, ``slice_i``, ``slice_j``.
+    Adds ``slice``, ``slice_i``, ``slice_j``. Groups of fewer than ``least`` rows are left out.
     """
     sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__size"))
-    big = sizes.filter(F.col("__size") > most).withColumn(
+    big = sizes.filter(F.col("__size") > (most if least < 2 else least - 1)).withColumn(
         "slices", F.ceil(F.col("__size") / most).cast("int")
     )
     sliced = (
-        rows.join(big.select(*key, "slices"), key, "left")
+        rows.join(big.select(*key, "slices"), key, "left" if least < 2 else "inner")
         .withColumn("slices", F.coalesce("slices", F.lit(1)))
         .withColumn("slice", F.pmod(F.xxhash64(item, F.lit(7)), "slices").cast("int"))
         .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))

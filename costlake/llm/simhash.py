@@ -191,11 +191,13 @@ def near_duplicates(
     )
 
 
-def first_of_each(documents: DataFrame, **settings) -> DataFrame:
+def first_of_each(documents: DataFrame, classes: DataFrame | None = None, **settings) -> DataFrame:
     """``documents`` with one row of each class: the one with the smallest id, and of repeated rows
-    with that id the one with the smallest text. Rows without an id can't be named and all stay."""
+    with that id the one with the smallest text. Rows without an id can't be named and all stay.
+
+    ``classes`` is (doc_id, component_id); without it, those of ``near_duplicates(**settings)``."""
     named = documents.filter("doc_id is not null")
-    classes = near_duplicates(named, **settings)
+    classes = near_duplicates(named, **settings) if classes is None else classes
     keep = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
     kept = named.join(keep, named["doc_id"] == F.col("__keep"), "left_semi")
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
