@@ -20,9 +20,11 @@ from costlake.llm.common import WORD_BREAK, let, stored, words
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-#: A line is boilerplate on a host if more than this share of its documents hold it, and more than
-#: this many of them.
-LINE_SHARE, LINE_DOCUMENTS = 0.02, 20
+#: A line is boilerplate on a host if more than this many of its documents hold it, however many the
+#: host has; of one-word lines (headings, names, numbers), more than the second figure.
+LINE_DOCUMENTS, ONE_WORD_DOCUMENTS = 5, 20
+#: Only for callers that also ask for a share of the host's documents.
+LINE_SHARE = 0.0
 #: A document is depleted if less than this share of its words is left.
 LEAST_LEFT = 0.5
 
@@ -103,14 +105,19 @@ def base_counts(documents: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(counted: DataFrame, share: float, least_documents: int) -> DataFrame:
+def frequent_lines(counted: DataFrame, share: float, least_documents: int, one_word_documents: int) -> DataFrame:
     """(source, line) of lines above the limit. A line counts once per document, before the shuffle."""
-    distinct = counted.select("source", F.explode(F.array_distinct("lines.line")).alias("line"))
-    per_line = distinct.groupBy("source", "line").agg(F.count(F.lit(1)).alias("documents"))
+    distinct = counted.select("source", F.explode(F.array_distinct("lines")).alias("l")).select("source", "l.*")
+    per_line = distinct.groupBy("source", "line").agg(
+        F.count(F.lit(1)).alias("documents"), F.min("words").alias("words")
+    )
+    limit = F.when(F.col("words") > 1, least_documents).otherwise(max(least_documents, one_word_documents))
+    frequent = per_line.filter(F.col("documents") > limit)
+    if share <= 0:
+        return frequent.select("source", "line")
     hosts = counted.groupBy(F.col("source").alias("host")).agg(F.count(F.lit(1)).alias("of_host"))
     return (
-        per_line.filter(F.col("documents") > least_documents)
-        .join(hosts, F.col("source").eqNullSafe(F.col("host")))
+        frequent.join(hosts, F.col("source").eqNullSafe(F.col("host")))
         .filter(F.col("documents") > share * F.col("of_host"))
         .select("source", "line")
     )
@@ -120,6 +127,7 @@ def check_lines(
     documents: DataFrame,
     line_share: float = LINE_SHARE,
     line_documents: int = LINE_DOCUMENTS,
+    one_word_documents: int = ONE_WORD_DOCUMENTS,
     least_left: float = LEAST_LEFT,
     least_words: int = LEAST_WORDS,
     most_repeated_percent: int = MOST_REPEATED_PERCENT,
@@ -129,7 +137,7 @@ def check_lines(
     counted = stored(
         base_counts(documents).withColumn("row", F.monotonically_increasing_id()), "line-counts"
     )
-    frequent = stored(frequent_lines(counted, line_share, line_documents), "line-frequent")
+    frequent = stored(frequent_lines(counted, line_share, line_documents, one_word_documents), "line-frequent")
     occurrences = counted.select("row", "source", F.explode("lines").alias("l")).select(
         "row", F.col("source").alias("host"), "l.line", "l.words"
     )
