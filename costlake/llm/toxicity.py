@@ -59,15 +59,20 @@ def features(documents: DataFrame) -> DataFrame:
     count = lambda value, pattern: F.regexp_count(value, F.lit(pattern)).cast("double")
     letters, upper = F.length(F.regexp_replace(text, r"\P{L}+", "")), F.length(F.regexp_replace(text, r"\P{Lu}+", ""))
     broken = text.rlike(r"\p{L}[0-9@$!|*_.-]+\p{L}")
+    standing_in = text.rlike(r"[013457@$!|]\p{L}|\p{L}[013457@$!|]")
+    undone = F.translate("low", LOOKALIKES, LETTERS)
     counted = documents.select("doc_id", text.alias("text"), low.alias("low")).select(
         "doc_id",
         F.greatest(count(F.col("text"), r"\S+"), F.lit(1.0)).alias("words"),
         F.greatest(F.length("text"), F.lit(1)).cast("double").alias("chars"),
         count(F.col("low"), insult).alias("hits"),
-        # Texts without a stand-in between letters read the same after undoing it.
-        F.when(broken, count(F.translate("low", LOOKALIKES, LETTERS), insult)).otherwise(0.0).alias("undone"),
+        # No insult comes to light where no stand-in is next to a letter.
+        F.when(standing_in, count(undone, insult)).otherwise(0.0).alias("undone"),
         count(F.col("low"), person).alias("person"),
-        F.when(F.col("low").rlike(insult), count(F.col("low"), aimed)).otherwise(0.0).alias("at_you"),
+        F.greatest(
+            F.when(F.col("low").rlike(insult), count(F.col("low"), aimed)).otherwise(0.0),
+            F.when(standing_in & undone.rlike(insult), count(undone, aimed)).otherwise(0.0),
+        ).alias("at_you"),
         letters.cast("double").alias("letters"),
         upper.cast("double").alias("upper"),
         count(F.col("text"), r"\b\p{Lu}{3,}\b").alias("shouts"),
