@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlake.llm import embeddings, language, line_rules, mixing, ngram_lm, packing, pii, quality, simhash, toxicity
+from costlake.llm import (
+    embeddings, importance, language, line_rules, mixing, ngram_lm, packing, pii, quality, simhash, token_files, toxicity,
+)
 from costlake.llm.common import table
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +33,12 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def word_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @register
 def op1_mix_sources(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -112,3 +120,15 @@ def op10_line_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "words_left",
     )
+
+
+@register
+def op12_token_files(spark, sf_dir):
+    written = token_files.write_tokens(table(spark, sf_dir, "documents"), word_tokenizer_path())
+    return written.documents().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register
+def op13_importance(spark, sf_dir):
+    documents, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.ranks(documents, target).select("doc_id", "n_features", "weight", "score", "rank")
