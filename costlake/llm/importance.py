@@ -234,7 +234,9 @@ def resample(documents: DataFrame, target: DataFrame, **settings) -> DataFrame:
     if last is None:
         return documents.limit(0)
     least_id = -(1 << 63) if last["doc_id"] is None else last["doc_id"]
-    limit = F.struct(F.lit(-last["score"]), F.lit(least_id), F.lit(-last["weight"]), F.lit(last["n_features"]))
+    limit = F.struct(
+        *[F.lit(v).cast("long") for v in (-last["score"], least_id, -last["weight"], last["n_features"])]
+    )
     least_words = settings.get("least_words", LEAST_WORDS)
     kept = scored.filter((F.col("importance.n_words") >= least_words) & (own <= limit)).drop("importance")
     return kept.withColumnRenamed("__importance", "importance").select(*documents.columns)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlake.llm import (
-    embeddings, importance, language, line_rules, mixing, ngram_lm, packing, pii, quality, simhash, token_files, toxicity,
+    embeddings, importance, language, line_rules, mixing, ngram_lm, packing, periods, pii, quality, simhash,
+    token_files, toxicity,
 )
 from costlake.llm.common import table
 
@@ -132,3 +133,9 @@ def op12_token_files(spark, sf_dir):
 def op13_importance(spark, sf_dir):
     documents, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return importance.ranks(documents, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op11_periodic_runs(spark, sf_dir):
+    documents = periods.with_repeated_tails(table(spark, sf_dir, "documents"))
+    return periods.report(periods.find_runs(documents))
