@@ -46,6 +46,39 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return materialise(df, run_folder(df.sparkSession, purpose))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until the frame has no such column (Spark tells no case apart)."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def positions(df: DataFrame, order: list[Column], name: str, purpose: str) -> DataFrame:
+    """``df`` with a column ``name``: the row's place, from 0, in ``order``. No task sees all rows: they are
+    dealt by ranges of the order and written, and each range begins after the rows of those before it.
+    One count per range comes to the driver."""
+    part, place = unused(df, "part"), unused(df, "place")
+    ordered = stored(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn(part, F.spark_partition_id())
+        .withColumn(place, F.monotonically_increasing_id() - F.shiftleft(F.col(part).cast("long"), 33)),
+        purpose,
+    )
+    starts, before = [], 0
+    for row in sorted(ordered.groupBy(part).count().collect()):
+        starts.append((row[part], before))
+        before += row["count"]
+    first = unused(ordered, "first")
+    offsets = df.sparkSession.createDataFrame(starts, f"{part} int, {first} long")
+    return (
+        ordered.join(F.broadcast(offsets), part)
+        .withColumn(name, F.col(first) + F.col(place))
+        .select(*df.columns, name)
+    )
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text modulo ``folds``; a null id counts as remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")), F.lit(0)) % folds

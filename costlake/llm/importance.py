@@ -28,11 +28,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.llm.common import ship_package, stored
+from costlake.llm.common import positions, ship_package, stored
 from costlake.llm.words import blocks, utf8
 
 BUCKETS = 10_000
@@ -199,22 +199,9 @@ def ranks(
         with_scores(narrow, target, buckets, seed).select("doc_id", "importance.*"), "importance-scores"
     )
     enough = F.col("n_words") >= least_words
-    ordered = stored(
-        scored.filter(enough)
-        .repartitionByRange(*_best_first())
-        .sortWithinPartitions(*_best_first())
-        .withColumn("part", F.spark_partition_id())
-        .withColumn("place", F.monotonically_increasing_id() - F.shiftleft(F.col("part").cast("long"), 33)),
-        "importance-order",
-    )
-    draw, before, starts = 0, 0, []
-    for row in sorted(ordered.groupBy("part").count().collect()):
-        starts.append((row["part"], before))
-        before += row["count"]
-    draw = percent * before // 100
-    offsets = documents.sparkSession.createDataFrame(starts, "part int, before long")
-    rank = F.col("before") + F.col("place") + 1
-    ranked = ordered.join(F.broadcast(offsets), "part").withColumn("rank", F.when(rank <= draw, rank))
+    draw = percent * scored.filter(enough).count() // 100
+    ordered = positions(scored.filter(enough), _best_first(), "place", "importance-order")
+    ranked = ordered.withColumn("rank", F.when(F.col("place") < draw, F.col("place") + 1))
     return ranked.select(*scored.columns, "rank").unionByName(
         scored.filter(~enough).withColumn("rank", F.lit(None).cast("long"))
     )

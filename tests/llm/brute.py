@@ -41,6 +41,15 @@ def targets(sizes):
         capped.update({s: 3.0 * sizes[s] for s in above})
 
 
+def nearest_sum_gap(lengths, copies, budget):
+    """How far the best choice of up to so many copies of each item is from the budget."""
+    sums = 1  # bit s: the sum s is reachable
+    for length in lengths:
+        for _ in range(copies):
+            sums |= sums << length
+    return next(gap for gap in range(budget + 1) if sums >> (budget - gap) & 1 or sums >> (budget + gap) & 1)
+
+
 def unigram_scores(docs):
     """doc_id -> (n_tokens, n_known, train_tokens, base_score); ids are distinct."""
     tokens = {d: [*words(lower_ascii(t)), None] for d, t in docs}

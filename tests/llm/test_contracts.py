@@ -38,7 +38,7 @@ def test_mix(spark, docs):
         assert r.taken <= 3 * r["size"] and (r["size"] == 0 or r.taken % r["size"] == 0)
         taken[s] += r.taken
     for s in sizes:
-        assert abs(taken[s] - targets[s]) <= 2
+        assert abs(taken[s] - targets[s]) <= 1
 
 
 def test_ngram_lm(spark, docs):

@@ -62,28 +62,73 @@ def test_mix(spark, docs, none):
     for _, text, _, source in TEXTS:
         sizes[source] = sizes.get(source, 0) + len(brute.words(text))
     for source, target in brute.targets(sizes).items():
-        assert abs(taken[source] - target) <= max(45, 0.01 * target)
-    assert mixing.mix(none).count() == 0
-    assert set(mixing.mixed_documents(docs).columns) == set(docs.columns)
+        lengths = [len(brute.words(t)) for _, t, _, src in TEXTS if src == source]
+        least = brute.nearest_sum_gap(lengths, 3, round(target))
+        assert abs(taken[source] - round(target)) == least
+    assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none).count() == 0
+
+
+def test_mixed_documents_keep_columns_and_targets(spark, docs):
+    named = docs.withColumnsRenamed({"row": "Row", "part": "copy", "line": "__n"})
+    assert mixing.mixed_documents(named).columns == named.columns
+    sample = docs.filter("doc_id = 6")
+    back = [r for r in mixing.mixed_documents(named).collect() if r.doc_id == 6]
+    assert set(back) == set(sample.withColumnsRenamed({"row": "Row", "part": "copy", "line": "__n"}).collect())
+    # Many rows that only a number of their own tells apart: as many words come out as were asked for.
+    alike = spark.createDataFrame(
+        [(None, "a b c d e", "s")] * 400 + [(i, "x y z", "t") for i in range(100)], "doc_id long, text string, source string"
+    )
+    sizes = {"s": 2000, "t": 300}
+    taken = dict.fromkeys(sizes, 0)
+    for r in mixing.mixed_documents(alike).collect():
+        taken[r.source] += len(r.text.split())
+    for source, target in brute.targets(sizes).items():
+        assert abs(taken[source] - target) <= 3
+
+
+def test_sources_are_levelled_like_one_by_one(spark):
+    rng = np.random.default_rng(5)
+    for n, share in ((1, 1.0), (7, 0.3), (300, 1.0), (300, 2.5), (300, 3.0), (300, 4.0)):
+        sizes = {f"s{i}é": int(v) for i, v in enumerate(rng.pareto(0.7, n) * 50)} | {None: 3}
+        frame_ = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        found = {r.source: r.target for r in mixing.targets(frame_, share=share).collect()}
+        total, expected = sum(sizes.values()) * share, None
+        if share == 1.0:
+            expected = brute.targets(sizes)
+            assert all(found[s] == pytest.approx(t, rel=1e-9, abs=1e-9) for s, t in expected.items())
+        assert all(found[s] <= 3 * v + 1e-9 for s, v in sizes.items())
+        assert sum(found.values()) == pytest.approx(min(total, 3 * sum(sizes.values())), rel=1e-9)
 
 
 def test_knapsack_is_best():
     rng = np.random.default_rng(1)
-    for _ in range(200):
+    for _ in range(300):
         n = int(rng.integers(1, 6))
         lengths = np.unique(rng.integers(1, 30, n)).astype(np.int64)
         counts = rng.integers(1, 5, len(lengths)).astype(np.int64)
-        budget = int(rng.integers(0, 120))
-        took = mixing.knapsack(lengths.tolist(), counts.tolist(), budget)
-        sums = {0}
-        for size, count in zip(lengths.tolist(), counts.tolist()):
-            sums = {s + k * size for s in sums for k in range(count + 1)}
-        assert sum(lengths[i] * k for i, k in took.items()) == max(s for s in sums if s <= budget)
+        budget = int(rng.integers(0, 160))
+        took, gap = mixing.knapsack(lengths.tolist(), counts.tolist(), budget)
+        each = np.repeat(lengths, counts).tolist()
+        assert gap == brute.nearest_sum_gap(each, 1, budget)
+        assert abs(sum(lengths[i] * k for i, k in took.items()) - budget) == gap
         assert all(k <= counts[i] for i, k in took.items())
-        full = mixing.fit(lengths, counts, budget, window=20)
-        assert (full <= counts).all()
+        full = mixing.fit(lengths, counts, budget)
+        assert (full <= counts).all() and (full >= 0).all()
         reach = min(budget, int((counts * lengths).sum()))
-        assert abs(int((full * lengths).sum()) - reach) <= lengths.max() // 2 + 1
+        assert abs(int((full * lengths).sum()) - reach) == brute.nearest_sum_gap(each, 1, reach)
+
+
+def test_long_budgets_are_met_and_shares_stay_in_proportion():
+    rng = np.random.default_rng(2)
+    lengths = np.unique(rng.integers(1, 20_000, 800)).astype(np.int64)
+    counts = rng.integers(1, 9, len(lengths)).astype(np.int64)
+    whole = int((lengths * counts).sum())
+    for share in (0.2, 1.0, 2.7):
+        plan = mixing.fit(lengths, 3 * counts, int(whole * share))
+        assert int((plan * lengths).sum()) == int(whole * share)
+        assert (plan <= 3 * counts).all()
+        long = lengths > 2_000
+        assert (plan * lengths)[long].sum() == pytest.approx(share * (counts * lengths)[long].sum(), rel=0.01)
 
 
 def test_toxicity(spark, docs, none, labels):
