@@ -21,6 +21,7 @@ any length lies whole in one shard; columns other than doc_id and text are ignor
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -41,8 +42,8 @@ END_ID = 2
 #: A shard is closed once it holds so many tokens.
 SHARD_TOKENS = 1 << 22
 BLOCK_BITS = 1 << 16
-#: Pieces of text, and as many parts of pieces, whose ids are kept by a Python worker.
-CACHE = 300_000
+#: Parts of texts whose ids are kept by a Python worker.
+CACHE = 400_000
 #: Documents that are encoded or decoded at a time.
 DOCUMENTS = 2_000
 
@@ -54,62 +55,52 @@ OCCURRENCE = "token long, doc_id long, position long"
 
 _WORD_BLOCK = BLOCK_BITS // 64
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Visible ASCII and Latin letters up to 17F, but for the one whose lower case is two characters.
-_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+#: ASCII and Latin letters up to 17F, but for the one whose lower case is two characters.
+_PLAIN = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
 #: What the tokenizer cuts lower-cased text into.
-_PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+_PART = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^\t-\r a-z0-9\u00df-\u00f6\u00f8-\u017f]+"
+)
 
 
 class WordEncoder:
     """Token ids of texts by a tokenizer that drops white space, lower-cases, and cuts what is left into runs
     of letters, single digits, runs of other characters, and the English endings after an apostrophe.
 
-    Each distinct piece between white space is encoded once per batch or taken from the cache. A piece of
-    plain characters (ASCII and Latin letters, which the tokenizer's normal form leaves alone) is cut as the
-    tokenizer does, so that a word is encoded once whatever punctuation it came with. Other pieces,
-    and those that may hold a special token, go to the tokenizer whole.
+    A text of plain characters (ASCII and Latin letters, which the tokenizer's normal form leaves alone) is cut
+    here as the tokenizer does, in one regex pass. Any other text, or one that may hold a special token, is cut
+    at white space only. Each distinct part is encoded once per batch or taken from the cache.
     """
 
     def __init__(self, path: str):
+        # A task has one core; the library's own threads would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.largest = self.tokenizer.get_vocab_size(with_added_tokens=True) - 1
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
+    def cut(text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return _PART.findall(text.lower())
         # Python alone takes the separators 1C to 1F for white space.
         return text.split(" ") if _ODD_SPACE.search(text) else text.split()
 
-    @staticmethod
-    def cut(piece: str) -> list[str]:
-        if _PLAIN.fullmatch(piece) and "<|" not in piece:
-            return _PART.findall(piece.lower())
-        return [piece]
-
-    def _encode_new(self, known: dict[str, bytes], new: list[str]) -> None:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids as little-endian unsigned 32-bit values."""
+        cut = [self.cut(text) for text in texts]
+        new = list(set().union(*cut) - self.known.keys())
         for start in range(0, len(new), 20_000):
             some = new[start : start + 20_000]
             got = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            known.update((piece, struct.pack(f"<{len(one.ids)}I", *one.ids)) for piece, one in zip(some, got))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit values."""
-        pieces = [self.pieces(t) for t in texts]
-        new = list(set().union(*pieces) - self.known.keys())
-        cut = [self.cut(piece) for piece in new]
-        new_parts = list(set().union(*cut) - self.parts.keys())
-        self._encode_new(self.parts, new_parts)
-        part = self.parts.__getitem__
-        self.known.update((piece, b"".join(map(part, some))) for piece, some in zip(new, cut))
-        out = [b"".join(map(self.known.__getitem__, some)) for some in pieces]
-        for cache, added in ((self.known, new), (self.parts, new_parts)):
-            full = len(cache) > CACHE
-            for piece in added:
-                if full or len(piece) > 40:
-                    del cache[piece]
+            self.known.update((part, struct.pack(f"<{len(one.ids)}I", *one.ids)) for part, one in zip(some, got))
+        out = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        full = len(self.known) > CACHE
+        for part in new:
+            if full or len(part) > 40:
+                del self.known[part]
         return out
 
 
