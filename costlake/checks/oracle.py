@@ -219,6 +219,12 @@ def _invoice_queries() -> dict[str, str]:
         "flow_batch_revenue": text_month,
         "serving_q4_revenue": f"{text_month} WHERE org_id = '7'",
         "required_key_filter": f"SELECT {raw} FROM invoices WHERE {required}",
+        "revenue_preview": """
+            SELECT *, (SELECT count(*) FROM revenue) AS total_rows FROM revenue ORDER BY org_id, month LIMIT 20""",
+        "ingest_moved_keys": f"""
+            SELECT {raw.replace('month', """CASE WHEN CAST(invoice_id AS BIGINT) % 7 = 0 OR month = DATE '1995-03-01'
+              THEN CAST(month + INTERVAL 240 MONTH AS DATE) ELSE month END AS month""")}
+            FROM invoices WHERE {required}""",
         "partition_overwrite_idempotent": """
             SELECT month, count(*) AS invoices,
               round(sum(CASE WHEN month >= DATE '1998-01-01' THEN 0 ELSE credits_usd END), 6) AS credits_usd
@@ -348,6 +354,7 @@ def _event_queries() -> dict[str, str]:
         "stream_serving_upsert": "SELECT * FROM usage_rows",
         "stream_bronze_events": f"SELECT {BRONZE_KEPT} FROM bronze",
         "stream_dedupe": ONCE_PER_ID,
+        "stream_continuous": "SELECT event_id, org_id, event_date FROM rejected",
         "stream_restart_idempotent": ONCE_PER_ID,
         "stream_late_data": f"""
             {ONCE_PER_ID} UNION ALL
@@ -366,6 +373,9 @@ def _event_queries() -> dict[str, str]:
         "flow_bounded_usage": f"SELECT * FROM usage_rows WHERE {CLOSED}",
         "flow_streaming_genai": f"SELECT * FROM genai_rows WHERE {CLOSED}",
         "flow_streaming_anomaly": f"{anomaly_rows} AND {CLOSED}",
+        "stream_late_rows_kept": f"""
+            SELECT event_id, {TEXT_TS.format('event_ts')}, true AS late_as_reported,
+              (SELECT 2 * count(*) FROM landed) AS rows_accounted FROM bronze""",
         "stream_rows_accounted": "SELECT 2 * count(*) AS rows_accounted FROM landed",
     }
 
@@ -386,6 +396,30 @@ INGEST_STATS = _with(
       CAST(sum(records_after_dedupe) AS BIGINT), CAST(sum(records_after_dedupe) AS BIGINT) FROM stats""",
 )
 
+LANDING_STATS = _with(
+    """
+landing AS (
+  SELECT 'customers_orgs' AS table_name, CASE WHEN c_custkey % 13 <> 0 THEN CAST(c_custkey % 700 AS VARCHAR) END AS key,
+    c_custkey % 13 <> 0 AS ok FROM customer
+  UNION ALL
+  SELECT 'marketing_touches', CAST(event_id AS VARCHAR), event_id % 71 <> 0 AND event_id % 17 <> 0 FROM events
+  UNION ALL
+  SELECT 'nps_surveys', concat(o_custkey % 50, ' ', CAST(o_orderdate AS DATE)), o_orderkey % 19 <> 0 FROM orders
+  UNION ALL
+  SELECT 'resources', CAST(p_partkey AS VARCHAR), p_partkey % 9 <> 0 FROM part
+  UNION ALL
+  SELECT 'users', CAST(c_custkey AS VARCHAR), c_custkey % 8 <> 0 FROM customer
+), stats AS (
+  SELECT table_name, 2 * count(*) AS records_read, 2 * count(*) FILTER (ok) AS records_after_quality,
+    count(DISTINCT key) FILTER (ok) AS records_after_dedupe
+  FROM landing GROUP BY table_name
+)""",
+    """SELECT *, records_after_dedupe AS records_written, records_after_dedupe AS dry_run_rows FROM stats
+    UNION ALL
+    SELECT 'total', CAST(sum(records_read) AS BIGINT), CAST(sum(records_after_quality) AS BIGINT),
+      CAST(sum(records_after_dedupe) AS BIGINT), CAST(sum(records_after_dedupe) AS BIGINT), NULL FROM stats""",
+)
+
 DEDUPE = """
 SELECT * EXCLUDE (n) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -400,5 +434,6 @@ def all_sql() -> dict[str, str]:
         **{name: _with(TICKETS, sql) for name, sql in _ticket_queries().items()},
         **{name: _with(EVENTS, sql) for name, sql in _event_queries().items()},
         "ingest_stats": INGEST_STATS,
+        "ingest_landing_tables": LANDING_STATS,
         "dedupe_natural_key": DEDUPE,
     }

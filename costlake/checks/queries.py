@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 
 from costlake.checks.views import (
     BATCH_DATE,
+    LANDED_FIELDS,
     bronze_events,
     customer_loads,
     every,
     invoices,
     landed_events,
     landed_lines,
+    landing_tables,
     table,
     tickets,
     with_times,
@@ -28,6 +30,7 @@ from costlake.operators.splits import first_rows, require_keys
 from costlake.plans import flows, marts, serving
 from costlake.plans.finance import revenue_by_org_month, split_billing
 from costlake.plans.ingest import (
+    ingest,
     ingest_stats,
     split_landed_events,
     to_bronze,
@@ -46,7 +49,9 @@ from costlake.plans.usage import (
     with_z_score,
 )
 from costlake.session import run_folder, shuffle_width, shuffles_of, use_utc
+from costlake.sources.keyed import load_keyed
 from costlake.sources.readers import (
+    dry_run_count,
     read_declared,
     read_landing,
     stream_landed_events,
@@ -67,9 +72,10 @@ from costlake.sources.sinks import (
     write_partitions,
     write_quarantine,
 )
-from costlake.sources.storage import has_files, total_bytes, version_of
+from costlake.sources.storage import total_bytes
 from costlake.streaming.counts import dropped_rows
 from costlake.streaming.jobs import (
+    DELAY,
     await_all,
     features_stream,
     start_append,
@@ -78,6 +84,7 @@ from costlake.streaming.jobs import (
     start_quarantine_samples,
     start_serving,
 )
+from costlake.streaming.late import LATE_EVENT, keep_late
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -88,12 +95,11 @@ def register(query: Query, name: str | None = None) -> Query:
     """Register under the function's name; results are comparable and computed in UTC.
 
     Streams and written tables of a query are shuffled by a width that fits the tables: Parquet
-    unpacks to a few times its size. The returned frame starts its shuffles at the same width.
+    unpacks to a few times its size. The caller's session keeps its own settings.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         width = shuffle_width(UNPACKED * total_bytes(spark, sf_dir), least=8)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
         with shuffles_of(use_utc(spark), width):
             return comparable(query(spark, sf_dir))
 
@@ -184,6 +190,20 @@ def partition_overwrite_idempotent(spark, sf_dir):
     )
 
 
+@register
+def ingest_moved_keys(spark, sf_dir):
+    """All invoices, then a second load that brings every seventh invoice, and all of March 1995, twenty years
+    later: months lose what moved, one month goes altogether, and each invoice is there once."""
+    spec = LANDING_TABLES["billing_monthly"]
+    first = require_keys(invoices(spark, sf_dir), list(spec.required))
+    again = every("invoice_id", 7) | (F.col("month") == "1995-03-01")
+    later = first.filter(again).withColumn("month", F.add_months("month", 240))
+    path = run_folder(spark, "moved-keys")
+    for load in (first, later, later):
+        load_keyed(load, path, list(spec.keys), spec.partition_by)
+    return read_declared(spark, path, first.schema)
+
+
 def invoices_landed_twice(spark, sf_dir):
     once = invoices(spark, sf_dir)
     return once.unionByName(once)
@@ -212,6 +232,28 @@ def ingest_csv_roundtrip(spark, sf_dir):
 # --- ingest -----------------------------------------------------------------------------------
 
 
+@register
+def ingest_landing_tables(spark, sf_dir):
+    """The other five landing tables as CSV files through the whole ingest: its statistics, and the rows that a dry
+    run then reads under the declared schema."""
+    root = run_folder(spark, "landing-tables")
+    tables = landing_tables(spark, sf_dir)
+    for name, rows in tables.items():
+        rows.unionByName(rows).write.option("header", True).csv(f"{root}/landing/{LANDING_TABLES[name].file}")
+    stats = ingest(spark, f"{root}/landing", f"{root}/bronze", BATCH_DATE, ",".join(tables))
+    read = [
+        (name, dry_run_count(spark, f"{root}/bronze/batch/{name}", LANDING_TABLES[name].schema)) for name in tables
+    ]
+    return stats.join(spark.createDataFrame(read, "table_name string, dry_run_rows long"), "table_name", "left")
+
+
+@register
+def revenue_preview(spark, sf_dir):
+    """The first rows for display, and how many there are."""
+    rows, total = serving.preview(revenue(spark, sf_dir).orderBy("org_id", "month"))
+    return rows.withColumn("total_rows", F.lit(total).cast("long"))
+
+
 def landed_tickets(spark, sf_dir):
     return with_technical_columns(tickets(spark, sf_dir), BATCH_DATE)
 
@@ -488,18 +530,13 @@ MART_OF_TABLE: dict[str, Query] = {
     "genai_tokens_by_org_date": lambda *at: marts.genai_mart(unscored_usage(*at)),
     "cost_anomaly_mart": lambda *at: marts.anomaly_mart(marts.usage_mart(scored(*at))),
 }
-_published: dict[tuple[str, str, str], str] = {}
 
 
 def served(spark, sf_dir, name):
-    """A stored serving table, published on first use and again when the input's files change; else
-    only read, as users do."""
-    at = (spark.sparkContext.applicationId, version_of(spark, sf_dir), name)
-    if at not in _published or not has_files(spark, _published[at]):
-        path = run_folder(spark, f"serving-{name}")
-        upsert(serving.serving_rows(MART_OF_TABLE[name](spark, sf_dir), name), SERVING_TABLES[name], path)
-        _published[at] = path
-    return read_serving(spark, SERVING_TABLES[name], _published[at])
+    """A serving table, published from the given tables and then only read, as users do."""
+    path = run_folder(spark, f"serving-{name}")
+    upsert(serving.serving_rows(MART_OF_TABLE[name](spark, sf_dir), name), SERVING_TABLES[name], path)
+    return read_serving(spark, SERVING_TABLES[name], path)
 
 
 @register
@@ -598,6 +635,59 @@ def stream_rows_accounted(spark, sf_dir):
     )
 
 
+def landed_backwards(spark, sf_dir, root):
+    """Landed lines in four files, the newest events in the first, and all of them once more."""
+    lines = landed_events(spark, sf_dir).select(
+        F.coalesce("_corrupt_record", F.to_json(F.struct(*LANDED_FIELDS))).alias("value"),
+        F.coalesce(F.try_to_timestamp("timestamp"), F.lit("2024-01-01").cast("timestamp")).alias("at"),
+    )
+    lines = stored(lines, "landed-lines")
+    quarters = lines.agg(F.expr("percentile(unix_micros(at), array(0.25, 0.5, 0.75))")).first()[0]
+    bounds = [None, *sorted(quarters, reverse=True), None]
+    at = F.unix_micros("at")
+    for copy in ("a", "b"):
+        for i, (above, below) in enumerate(zip(bounds[1:], bounds)):
+            part = lines.filter(at >= above if above is not None else F.lit(True))
+            part = part.filter(at < below if below is not None else F.lit(True))
+            part.select("value").coalesce(1).write.text(f"{root}/landing/{copy}{i}")
+    return f"{root}/landing/*"
+
+
+@register
+def stream_late_rows_kept(spark, sf_dir):
+    """Landed lines, newest files first and each twice, with one file per micro-batch: most files come late. Every valid
+    event is in bronze or among the late rows, and each line is kept, rejected, late or a copy."""
+    root = run_folder(spark, "stream-late-rows")
+    path = landed_backwards(spark, sf_dir, root)
+    lines = stream_landed_events(spark, path, 1, "*.txt")
+    with dropped_rows(spark) as dropped:
+        reported, copies = dropped.of(await_all(start_bronze(lines, f"{root}/bronze", f"{root}/checkpoints")))
+    late_path = f"{root}/late"
+    found = keep_late(spark, f"{root}/checkpoints/bronze/usage_events", late_path, DELAY)
+    again = keep_late(spark, f"{root}/checkpoints/bronze/usage_events", late_path, DELAY)
+    kept = read_declared(spark, f"{root}/bronze/streaming/usage_events", BRONZE_EVENT)
+    late = read_declared(spark, late_path, LATE_EVENT)
+    rejected = spark.read.parquet(f"{root}/bronze/quarantine/usage_events_invalid")
+    counted = kept.count() + rejected.count() + late.count() + copies
+    ids = kept.select("event_id", "event_ts").unionByName(late.select("event_id", "event_ts")).distinct()
+    return ids.select(
+        "event_id", "event_ts", F.lit(found == reported > 0 and not again).alias("late_as_reported"),
+        F.lit(counted).cast("long").alias("rows_accounted"),
+    )
+
+
+@register
+def stream_continuous(spark, sf_dir):
+    """Quality failures of the silver step, by a query that goes on until it is stopped."""
+    root = run_folder(spark, "stream-continuous")
+    source = bronze_source(spark, sf_dir, root)
+    _, rejected = split_events(stream_parquet(spark, source, BRONZE_EVENT))
+    query = start_append(rejected, f"{root}/out", f"{root}/checkpoint", "event_date", continuous=True)
+    query.processAllAvailable()
+    query.stop()
+    return read_back(spark, f"{root}/out", rejected.schema, ["event_id", "org_id", "event_date"])
+
+
 @register
 def stream_quarantine(spark, sf_dir):
     """Quality failures of the silver step; as in batch, taken before dedupe."""
@@ -628,7 +718,7 @@ def stream_dedupe(spark, sf_dir):
     root = run_folder(spark, "stream-dedupe")
     for _ in range(2):
         source = bronze_source(spark, sf_dir, root)
-    deduped = dedupe_stream(stream_parquet(spark, source, BRONZE_EVENT), ["event_id"])
+    deduped = dedupe_stream(stream_parquet(spark, source, BRONZE_EVENT), ["event_id"], spread_by="source_file")
     start_append(deduped, f"{root}/out", f"{root}/checkpoint", "event_date").awaitTermination()
     return read_back(spark, f"{root}/out", BRONZE_EVENT, ["event_id", "event_date"])
 
@@ -639,7 +729,7 @@ def stream_events_enriched(spark, sf_dir):
     source = bronze_source(spark, sf_dir, root)
     accepted, _ = split_events(stream_parquet(spark, source, BRONZE_EVENT))
     dimension = materialise(orgs(spark, sf_dir), f"{root}/orgs")
-    enriched = enrich_events(dedupe_stream(accepted, ["event_id"]), dimension)
+    enriched = enrich_events(dedupe_stream(accepted, ["event_id"], spread_by="source_file"), dimension)
     start_append(enriched, f"{root}/out", f"{root}/checkpoint", "event_date").awaitTermination()
     return read_back(spark, f"{root}/out", enriched.schema, ENRICHED)
 
@@ -718,7 +808,7 @@ def stream_serving_upsert(spark, sf_dir):
 
 def dedupe_run(spark, source, root):
     """Start (or restart) the dedupe query on a folder and drain it."""
-    deduped = dedupe_stream(stream_parquet(spark, source, BRONZE_EVENT), ["event_id"])
+    deduped = dedupe_stream(stream_parquet(spark, source, BRONZE_EVENT), ["event_id"], spread_by="source_file")
     start_append(deduped, f"{root}/out", f"{root}/checkpoint", "event_date").awaitTermination()
 
 
@@ -751,14 +841,11 @@ def stream_late_data(spark, sf_dir):
 # --- flows ------------------------------------------------------------------------------------
 
 
-def once(spark, sf_dir, name, run):
-    """The lake that a flow filled; run on first use and again when the input's files change."""
-    at = (spark.sparkContext.applicationId, version_of(spark, sf_dir), name)
-    if at not in _published or not has_files(spark, _published[at]):
-        lake = flows.Lake(run_folder(spark, name))
-        run(spark, sf_dir, lake)
-        _published[at] = lake.root
-    return flows.Lake(_published[at])
+def filled(spark, sf_dir, name, run):
+    """The lake that a flow fills from the given tables."""
+    lake = flows.Lake(run_folder(spark, name))
+    run(spark, sf_dir, lake)
+    return lake
 
 
 def fill_streaming(spark, sf_dir, lake, **bounds):
@@ -783,13 +870,13 @@ def served_by(spark, lake, name):
 @register
 def flow_streaming_counts(spark, sf_dir):
     """Landed lines to serving; row counts of every layer."""
-    return flows.streaming_counts(spark, once(spark, sf_dir, "flow-streaming", fill_streaming))
+    return flows.streaming_counts(spark, filled(spark, sf_dir, "flow-streaming", fill_streaming))
 
 
 @register
 def flow_streaming_usage(spark, sf_dir):
     """The usage table that the same flow serves."""
-    lake = once(spark, sf_dir, "flow-streaming", fill_streaming)
+    lake = filled(spark, sf_dir, "flow-streaming", fill_streaming)
     return served_by(spark, lake, "org_daily_usage_by_service")
 
 
@@ -797,30 +884,30 @@ def flow_streaming_usage(spark, sf_dir):
 def flow_bounded_usage(spark, sf_dir):
     """The same table when silver takes bronze in several micro-batches."""
     bounded = partial(fill_streaming, silver_files=100)
-    return served_by(spark, once(spark, sf_dir, "flow-bounded", bounded), "org_daily_usage_by_service")
+    return served_by(spark, filled(spark, sf_dir, "flow-bounded", bounded), "org_daily_usage_by_service")
 
 
 @register
 def flow_streaming_genai(spark, sf_dir):
-    lake = once(spark, sf_dir, "flow-streaming", fill_streaming)
+    lake = filled(spark, sf_dir, "flow-streaming", fill_streaming)
     return served_by(spark, lake, "genai_tokens_by_org_date")
 
 
 @register
 def flow_streaming_anomaly(spark, sf_dir):
-    lake = once(spark, sf_dir, "flow-streaming", fill_streaming)
+    lake = filled(spark, sf_dir, "flow-streaming", fill_streaming)
     return served_by(spark, lake, "cost_anomaly_mart")
 
 
 @register
 def flow_batch_revenue(spark, sf_dir):
     """Landing CSV files to the served revenue table."""
-    lake = once(spark, sf_dir, "flow-batch", fill_batch)
+    lake = filled(spark, sf_dir, "flow-batch", fill_batch)
     return served_by(spark, lake, "revenue_by_org_month")
 
 
 @register
 def flow_batch_tickets(spark, sf_dir):
     """Landing CSV files to the served ticket table. Landing drops tickets without an id."""
-    lake = once(spark, sf_dir, "flow-batch", fill_batch)
+    lake = filled(spark, sf_dir, "flow-batch", fill_batch)
     return with_severity_columns(served_by(spark, lake, "tickets_by_org_date"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlake.plans.ingest import split_landed_events, with_event_columns
-from costlake.sources.schemas import BRONZE_EVENT
+from costlake.sources.schemas import BRONZE_EVENT, LANDING_TABLES
 
 JULY_2025 = 1751328000  # 2025-07-01 00:00:00 UTC
 BATCH_DATE = "2026-06-15"
@@ -95,6 +95,47 @@ def customer_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return earlier.unionByName(orgs.withColumn("load_date", F.lit(BATCH_DATE).cast("date")))
 
 
+def landing_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five landing tables beside invoices and tickets: some keys are missing, some rows come twice."""
+    customer, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events")
+    org = (F.col("user_id") % 20).cast("string")
+    found = {
+        "customers_orgs": customer.select(
+            null_every("c_custkey", 13, (F.col("c_custkey") % 700).cast("string")).alias("org_id"),
+            F.col("c_name").alias("org_name"), F.col("c_mktsegment").alias("industry"),
+        ),
+        "marketing_touches": events.select(
+            F.col("event_id").cast("string").alias("touch_id"), null_every("event_id", 71, org).alias("org_id"),
+            null_every("event_id", 17, F.col("ts")).cast("timestamp").alias("timestamp"),
+            (F.col("event_type") == "click").alias("clicked"),
+        ),
+        "nps_surveys": orders.select(
+            (F.col("o_custkey") % 50).cast("string").alias("org_id"),
+            null_every("o_orderkey", 19, F.col("o_orderdate").cast("date")).alias("survey_date"),
+            (F.col("o_custkey") % 11).cast("double").alias("nps_score"),
+        ),
+        "resources": part.select(
+            F.col("p_partkey").cast("string").alias("resource_id"),
+            null_every("p_partkey", 9, F.col("p_brand")).alias("org_id"), F.col("p_type").alias("service"),
+        ),
+        "users": customer.select(
+            F.col("c_custkey").cast("string").alias("user_id"),
+            null_every("c_custkey", 8, F.col("c_mktsegment")).alias("org_id"),
+            (F.col("c_acctbal") > 0).alias("active"),
+        ),
+    }
+    return {
+        name: rows.select(
+            *[
+                F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in LANDING_TABLES[name].schema
+            ]
+        )
+        for name, rows in found.items()
+    }
+
+
 LANDED_FIELDS = {
     "event_id": "CASE WHEN event_id % 61 <> 0 THEN CAST(event_id AS STRING) END",
     "timestamp": """CASE WHEN event_id % 89 = 0 THEN 'not-a-time'

@@ -38,6 +38,7 @@ from costlake.sources.sinks import (
 )
 from costlake.sources.storage import has_files, read_or_empty
 from costlake.streaming.counts import dropped_rows
+from costlake.streaming.late import keep_late
 from costlake.streaming.jobs import (
     DELAY,
     await_all,
@@ -70,6 +71,10 @@ class Lake:
     def checkpoints(self) -> str:
         return f"{self.root}/checkpoints"
 
+    @property
+    def late_events(self) -> str:
+        return f"{self.bronze}/quarantine/usage_events_late"
+
     def serving(self, table: str) -> str:
         return f"{self.root}/serving/{table}"
 
@@ -165,7 +170,8 @@ def run_streaming(
     """Usage events from landing lines to serving, draining each stage; returns its row counts.
 
     The counts include ``dropped/late`` and ``dropped/copies``: landed events that this run left out
-    because they were below the watermark, or equal in id to one that was kept. ``max_files`` bounds the
+    because they were below the watermark, or equal in id to one that was kept (NULL if Spark's last report of
+    a stream does not come). The late ones are kept as rows in ``bronze/quarantine/usage_events_late``. ``max_files`` bounds the
     landing files per micro-batch, ``silver_files`` the bronze files. Bronze removed the copies, so
     silver keeps no state and its bound changes no result. The features read whole micro-batches of
     silver: their files cover several days in no order, and splitting them could make rows late; what
@@ -175,7 +181,8 @@ def run_streaming(
     use_utc(spark)
     landed = stream_landed_events(spark, landed_events, max_files, glob)
     with dropped_rows(spark) as dropped:
-        late, copies = dropped.of(await_all(start_bronze(landed, lake.bronze, lake.checkpoints, delay)))
+        _, copies = dropped.of(await_all(start_bronze(landed, lake.bronze, lake.checkpoints, delay)))
+    late = keep_late(spark, f"{lake.checkpoints}/bronze/usage_events", lake.late_events, delay)
 
     customers = spark.read.parquet(f"{lake.bronze}/batch/customers_orgs")
     orgs = materialise(org_dimension(customers), f"{lake.silver}/org_dimension")

@@ -7,11 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costlake.functions.rules import all_present, landed_event_rule
 from costlake.functions.values import parse_double, parse_timestamp
 from costlake.operators.dedupe import dedupe_rows, total_order
+from costlake.operators.lookups import keep_directories
 from costlake.operators.splits import require_keys, split
+from costlake.sources.keyed import load_keyed
 from costlake.sources.readers import read_landing
 from costlake.sources.schemas import LANDING_TABLES, TableSpec
 from costlake.sources.sinks import write_partitions
@@ -92,17 +95,34 @@ def ingest(
     batch_date: str,
     tables: str | None = None,
 ) -> DataFrame:
-    """Load the selected landing tables into bronze; returns the run statistics."""
+    """Load the selected landing tables into bronze; returns the run statistics.
+
+    Statistics are taken table by table, right after the load, and don't change with landing files that come
+    later. ``records_written`` is counted in the written partitions, so a load that fails reports none.
+    """
     stats = []
     for spec in select_tables(tables):
         landed = with_technical_columns(read_landing(spark, spec, landing_root), batch_date)
-        write_partitions(
-            to_bronze(landed, spec), f"{bronze_root}/batch/{spec.name}", [spec.partition_by]
-        )
-        stats.append(ingest_stats(landed, spec))
+        path = f"{bronze_root}/batch/{spec.name}"
+        rows = to_bronze(landed, spec)
+        if spec.may_move:
+            load_keyed(rows, path, list(spec.keys), spec.partition_by)
+        else:
+            write_partitions(rows, path, [spec.partition_by])
+        stats.append(written_stats(landed, rows.schema, spec, path))
     return with_totals(stats)
 
 
+def written_stats(landed: DataFrame, schema: T.StructType, spec: TableSpec, path: str) -> DataFrame:
+    """``ingest_stats`` with the rows found in the partitions that the load replaced, one row of values."""
+    spark = landed.sparkSession
+    counts = ingest_stats(landed, spec)
+    complete = landed.filter(all_present(list(spec.required)))
+    replaced = keep_directories(spark.read.schema(schema).parquet(path), complete, [spec.partition_by])
+    row = counts.first().asDict() | {"records_written": replaced.count()}
+    return spark.createDataFrame([tuple(row[name] for name in counts.columns)], counts.schema)
+
+
 def with_event_columns(landed: DataFrame) -> DataFrame:
     """Parsed time and value of landed events, and whether the value is no number."""
     return (

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from costlake.functions.rules import Z_SCORE_LIMIT, silver_event_rule, with_event_flags
 from costlake.functions.values import or_zero, parse_double, round6, truncate_to_long
-from costlake.operators.dedupe import dedupe_rows
+from costlake.operators.dedupe import dedupe_rows, total_order
 from costlake.operators.lookups import left_lookup
 from costlake.operators.splits import split
-from costlake.sources.schemas import ORG_DIMENSION_COLUMNS
+from costlake.sources.schemas import BRONZE_EVENT, ORG_DIMENSION_COLUMNS
 
 
 def conform_events(bronze: DataFrame) -> DataFrame:
@@ -38,9 +38,10 @@ def split_events(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def silver_events(bronze: DataFrame) -> DataFrame:
-    """Batch form of the silver events: accepted and deduped on the event id."""
+    """Batch form of the silver events: accepted and deduped on the event id. Of versions that differ, which
+    one stays depends on the rows alone."""
     accepted, _ = split_events(bronze)
-    return dedupe_rows(accepted, ["event_id"])
+    return dedupe_rows(accepted, ["event_id"], total_order(accepted, BRONZE_EVENT.fieldNames()))
 
 
 def org_dimension(customers: DataFrame) -> DataFrame:

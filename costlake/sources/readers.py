@@ -35,6 +35,12 @@ def stream_landed_events(
     return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def read_landed_events(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The same lines as a static frame, from files given by name."""
+    reader = spark.read.schema(LANDED_EVENT).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(paths).withColumn("source_file", F.col("_metadata.file_path"))
+
+
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:

@@ -41,6 +41,12 @@ class TableSpec:
     def file(self) -> str:
         return f"{self.name}.csv"
 
+    @property
+    def may_move(self) -> bool:
+        """Whether a row that lands again can belong to another partition. Loads kept by their date are history,
+        and a partition column that is part of the key names another row."""
+        return self.partition_by not in (*self.keys, "load_date", "batch_date")
+
 
 # Fixed values of the data contract: column names, types, keys.
 LANDING_TABLES = {

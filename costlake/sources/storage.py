@@ -36,6 +36,15 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(hadoop_path).getLength()
 
 
+def names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names directly below a folder that begin with ``prefix``; none if there is no such folder."""
+    file_system, hadoop_path = _resolve(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    found = [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+    return sorted(name for name in found if name.startswith(prefix))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote itself."""
     file_system, hadoop_path = _resolve(spark, path)
