@@ -26,6 +26,7 @@ from costlake.sources.schemas import (
     SILVER_EVENT,
 )
 from costlake.sources.sinks import upsert
+from costlake.streaming.late import note_start
 
 DELAY = "2 days"
 #: Files that one micro-batch writes per directory at most, when its rows come out of a shuffle.
@@ -99,6 +100,7 @@ def start_bronze(
     continuous: bool = False,
 ) -> list[StreamingQuery]:
     """Landed events to bronze (deduped) and to quarantine (as they came)."""
+    note_start(landed.sparkSession, f"{checkpoints}/bronze/usage_events")
     valid, invalid = split_landed_events(with_event_columns(landed))
     deduped = dedupe_stream(valid, ["event_id"], delay, spread_by="source_file")
     return [

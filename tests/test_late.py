@@ -45,6 +45,8 @@ def test_limits_follow_the_micro_batches_before_the_last_one():
     assert late_limits(newest, None, 2 * ms) == [(2, 3 * ms), (4, 7 * ms), (5, 7 * ms)]
     assert late_limits([(6, 30 * ms), (7, 0), (8, 0)], 4 * ms, 0) == [(6, 4 * ms), (7, 4 * ms), (8, 30 * ms)]
     assert late_limits([(0, 1)], None, 1) == []
+    # A start tests its first micro-batch against all that were committed.
+    assert late_limits([(0, 5 * ms), (1, 9 * ms), (2, 0)], None, 2 * ms, {0, 1}) == [(1, 3 * ms), (2, 3 * ms)]
 
 
 @pytest.mark.parametrize("max_files", [1, 2, None])
