@@ -125,19 +125,46 @@ def test_line_rules(spark, docs):
     } == expected
 
 
-@pytest.mark.parametrize(
-    "name, label, limit, least",
-    [("op2_toxicity", "toxic", 0.5, 0.9), ("op7_quality", "quality", 0.3, 0.9)],
-)
-def test_classifiers_on_held_out_rows(spark, name, label, limit, least):
-    folder = "/root/testdata/sf0.01"
+def held_out_rows(spark, name, label, limit, folder):
+    """(truth, predicted, lang) of the held-out labelled rows."""
     truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
     found = REGISTERED[name](spark, folder).collect()
-    assert len(found) == 1000
-    held = [r for r in found if r.held_out and truth.get(r.doc_id) is not None]
+    assert len(found) == len(langs)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= limit) for r in found)
     assert all(r.held_out == (brute.fold(r.doc_id, 5) == 0) for r in found)
-    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) >= least
+    return [
+        (truth[r.doc_id], r.predicted, langs[r.doc_id])
+        for r in found if r.held_out and truth.get(r.doc_id) is not None
+    ]
+
+
+def recall(rows, label):
+    own = [p == label for t, p, _ in rows if t == label]
+    return np.mean(own) if own else 1.0
+
+
+def precision(rows, label):
+    own = [t == label for t, p, _ in rows if p == label]
+    return np.mean(own) if own else 0.0
+
+
+def test_toxicity_on_held_out_rows_by_class_and_language(spark):
+    rows = held_out_rows(spark, "op2_toxicity", "toxic", 0.5, "/root/testdata/sf0.1")
+    assert recall(rows, 1) >= 0.9 and precision(rows, 1) >= 0.9 and recall(rows, 0) >= 0.99
+    languages = {lang for _, _, lang in rows}
+    for lang in languages:
+        own = [r for r in rows if r[2] == lang]
+        if sum(r[0] for r in own) >= 10:
+            assert recall(own, 1) >= 0.8 and precision(own, 1) >= 0.9, lang
+    assert len(languages) >= 4
+
+
+def test_quality_on_held_out_rows_by_class(spark):
+    rows = held_out_rows(spark, "op7_quality", "quality", 0.3, "/root/testdata/sf0.1")
+    print({(c, l): (recall(o, c), precision(o, c), len(o)) for c in (0, 1) for l in {r[2] for r in rows} for o in [[r for r in rows if r[2] == l]]})
+    assert recall(rows, 1) >= 0.9 and precision(rows, 1) >= 0.9
+    assert recall(rows, 0) >= 0.5 and precision(rows, 0) >= 0.7
 
 
 def test_language_on_held_out_rows(spark):
