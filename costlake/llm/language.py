@@ -31,6 +31,8 @@ from costlake.llm.common import fold, ship_package, stored
 from costlake.llm.words import mix
 
 ORDER = 4
+#: Names and counts of so many languages are sent to all tasks (a few MB); of more, they are joined by shuffle.
+MOST_LANGUAGES_SENT = 50_000
 #: Labelled documents learnt from per language at most, and the share of them kept for calibration.
 MOST_PER_LANGUAGE, CALIBRATION = 1_500, 0.25
 #: Share of the calibration documents that must not be rejected.
@@ -266,7 +268,9 @@ def fit(documents: DataFrame, learn_from: Column | None = None, most: int = MOST
     known = documents.filter("lang is not null and text is not null")
     if learn_from is not None:
         known = known.filter(learn_from)
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("__n")), "language-sizes")
+    if sizes.count() <= MOST_LANGUAGES_SENT:
+        sizes = F.broadcast(sizes)  # so that no text is shuffled
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = stored(
         known.select("doc_id", "lang", "text")

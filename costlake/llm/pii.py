@@ -1,11 +1,14 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame operations only.
 
-Fixed formats (e-mail, IP, card and phone numbers) are found first. They, and keys of well-known
-formats, are the seed entities. Every identifier-like value (one with a digit) is linked to the
-lexical pattern left of it: the word before it and the separators between, such as ``password=``.
-Patterns and values score each other over this graph in rounds: a pattern by the share of the corpus'
-uses of its word that introduce a known entity, a value by the patterns that introduce it. Patterns
-that stay above the limit discover the values that no format knows.
+Fixed formats (e-mail, IP, card and phone numbers) are found first. All their spans, and keys of well-known
+formats, are the seed entities. These and every other identifier-like value (one with a digit) are linked to the
+lexical pattern left of them: the word before and the separators between, such as ``password=``. In
+waves, known values induce the patterns that introduce enough of them, and patterns and values score each other
+over that graph in a few rounds: a pattern by the share of the corpus' uses of its word that introduce a
+known entity, a value by the patterns that introduce it. Values above the limit are known in the next wave, so
+one that a pattern found helps to induce another pattern, until none is new. Patterns above the limit
+discover the values that no format knows.
+Of an introducing word the last 40 characters count, of what lies before a value the last 56.
 
 Edge cases: a null text is empty and has no spans; repeated rows each get the same spans; rows with
 one id and different texts are told apart by a hash of the text; an empty table gives no rows; a value
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlake.llm.common import stored
+from costlake.llm.common import stored, unused
 
 # The formats in the order of the report. Lookbehinds and possessive quantifiers only
 # spare the engine useless attempts; \G lets a match begin where the last one ended.
@@ -44,7 +47,10 @@ FEW = 16
 LEAST_LENGTH = 6
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.8
+#: Rounds of scoring in a wave: more would let a pattern vouch for itself.
 ROUNDS = 3
+#: Waves at most; they end when one induces no new pattern. Each step of a chain of patterns takes one.
+WAVES = 8
 
 SPANS = "array<struct<start:int,end:int>>"
 MATCHES = "array<struct<start:int,end:int,match:string,before:string>>"
@@ -118,27 +124,29 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 
 def values_in_context(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, end, value, word, cue, entity, key): each identifier-like value with
-    what introduces it, whether a fixed format covers it, and whether it has a seed format."""
-    known = F.transform(
-        F.concat(*[format_spans(F.col("text"), kind) for kind in FORMATS]),
-        lambda k: F.struct(
-            k["start"].alias("start"), k["end"].alias("end"), F.lit(True).alias("known"),
-            F.lit("").alias("value"), F.lit("").alias("context"),
-        ),
-    )
-    values = F.transform(
-        matches_of(F.col("text"), VALUE, lambda m: (F.length(m) >= LEAST_LENGTH) & m.isNotNull()),
-        lambda m: F.struct(
-            m["start"].alias("start"), m["end"].alias("end"), F.lit(False).alias("known"),
-            m["match"].alias("value"), F.lower(m["before"]).alias("context"),
-        ),
-    )
+    """(doc_id, text_key, start, end, value, word, cue, entity, key): each span of a fixed format (``entity``), and
+    each identifier-like value that none of them covers, with what introduces it and whether it has a seed format."""
+
+    def found(matches: Column, known: bool) -> Column:
+        return F.transform(
+            matches,
+            lambda m: F.struct(
+                m["start"].alias("start"), m["end"].alias("end"), F.lit(known).alias("known"),
+                m["match"].alias("value"), F.lower(m["before"]).alias("context"),
+            ),
+        )
+
+    text = F.col("text")
+    known = [
+        F.when(text.rlike(needs), found(matches_of(text, pattern, valid), True)).otherwise(F.array())
+        for needs, pattern, valid in FORMATS.values()
+    ]
+    values = found(matches_of(text, VALUE, lambda m: (F.length(m) >= LEAST_LENGTH) & m.isNotNull()), False)
     events = (
         _keyed(documents.select("doc_id", "text"))
         .withColumn("row", F.monotonically_increasing_id())
-        .filter(F.col("text").rlike("[0-9]"))
-        .select("doc_id", "text_key", "row", F.explode(F.concat(known, values)).alias("e"))
+        .filter(F.col("text").rlike("[0-9@]"))
+        .select("doc_id", "text_key", "row", F.explode(F.concat(*known, values)).alias("e"))
         .select("doc_id", "text_key", "row", "e.*")
     )
     # Known spans that began before a value and reach into it, or begin inside it.
@@ -147,10 +155,10 @@ def values_in_context(documents: DataFrame) -> DataFrame:
     upcoming = F.min(F.when(F.col("known"), F.col("start"))).over(along.rowsBetween(0, Window.unboundedFollowing))
     covered = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(upcoming < F.col("end"), F.lit(False))
     return (
-        events.withColumn("entity", covered)
-        .filter(~F.col("known"))
+        events.withColumn("covered", covered)
+        .filter(F.col("known") | ~F.col("covered"))
         .select(
-            "doc_id", "text_key", "start", "end", "value", "entity",
+            "doc_id", "text_key", "start", "end", "value", F.col("known").alias("entity"),
             F.col("value").rlike(KEY_FORMAT).alias("key"),
             F.regexp_extract("context", CUE, 1).alias("word"),
             F.concat(
@@ -161,48 +169,63 @@ def values_in_context(documents: DataFrame) -> DataFrame:
     )
 
 
-def strong_cues(documents: DataFrame, values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def strong_cues(documents: DataFrame, values: DataFrame, waves: int = WAVES) -> DataFrame:
     """(cue, confidence) of the patterns above the limits.
 
-    Rare patterns go first: one that does not introduce enough different seeds can't be scored. The
-    uses of the remaining patterns' words are then counted over all texts.
+    A pattern that does not introduce enough different values can never be scored and goes first. The uses of
+    the remaining patterns' words are then counted over all texts, once for all rounds.
     """
-    seed = F.col("entity") | F.col("key")
-    seeded = (
-        values.filter(seed & (F.col("word") != ""))
-        .select("word", "cue", "value").distinct()
-        .groupBy("word", "cue").agg(F.count(F.lit(1)).alias("seeds"))
-        .filter(F.col("seeds") >= LEAST_SEEDS)
+    seed = (F.col("entity") | F.col("key")).cast("double")
+    pairs = stored(
+        values.filter("word <> ''").groupBy("word", "cue", "value").agg(
+            F.count(F.lit(1)).alias("n"), F.max(seed).alias("seed")
+        ),
+        "pii-pairs",
     )
-    cues = stored(seeded, "pii-cues")
+    met = pairs.groupBy("word", "cue").agg(F.count(F.lit(1)).alias("values")).filter(F.col("values") >= LEAST_SEEDS)
+    graph = stored(pairs.join(met.select("cue"), "cue"), "pii-graph")
     tokens = _keyed(documents.select("text")).select(
         F.explode(F.split(F.lower("text"), SEPARATORS)).alias("token")
     )
-    wanted = cues.select(F.col("word").alias("token")).distinct()
-    uses = tokens.join(wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
-    graph = stored(
-        values.join(cues.select("cue"), "cue")
-        .groupBy("word", "cue", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(seed.cast("double")).alias("seed")),
-        "pii-graph",
+    wanted = graph.select(F.col("word").alias("token")).distinct()
+    uses = stored(
+        tokens.join(wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("uses")), "pii-uses"
     )
-    counted = stored(uses, "pii-uses")
-    instances = graph.select("value", F.col("seed").alias("score")).distinct()
-    for _ in range(rounds):
-        scored = (
-            graph.join(instances, "value")
-            .groupBy("word", "cue")
-            .agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.sum("n").alias("seen"))
-            .join(counted, F.col("word") == F.col("token"), "left")
-            .select("cue", (F.col("hits") / F.greatest("seen", F.coalesce("uses", F.lit(0)))).alias("confidence"))
+    seeds = stored(graph.groupBy("value").agg(F.max("seed").alias("known")), "pii-seeds")
+    before = 0
+    for _ in range(waves):
+        induced = (
+            graph.join(seeds.filter("known = 1"), "value")
+            .groupBy("word", "cue").agg(F.count(F.lit(1)).alias("sure"))
+            .filter(F.col("sure") >= LEAST_SEEDS)
         )
-        patterns = stored(scored, "pii-patterns")
-        miss = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
-        found = graph.join(patterns, "cue").groupBy("value").agg(
-            F.greatest(F.max("seed"), 1 - miss).alias("score")
+        open_graph = stored(graph.join(induced.select("cue"), "cue").join(seeds, "value"), "pii-induced")
+        instances = seeds.select("value", F.col("known").alias("score"))
+        for _ in range(ROUNDS):
+            scored = (
+                open_graph.join(instances, "value")
+                .groupBy("word", "cue")
+                .agg(F.sum(F.col("n") * F.col("score")).alias("hits"), F.sum("n").alias("seen"))
+                .join(uses, F.col("word") == F.col("token"), "left")
+                .select("cue", (F.col("hits") / F.greatest("seen", F.coalesce("uses", F.lit(0)))).alias("confidence"))
+            )
+            patterns = stored(scored, "pii-patterns")
+            miss = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
+            found = open_graph.join(patterns, "cue").groupBy("value").agg(
+                F.greatest(F.max("known"), 1 - miss).alias("score")
+            )
+            instances = stored(found, "pii-instances")
+        strong = patterns.filter(F.col("confidence") >= LEAST_CONFIDENCE)
+        count = strong.count()
+        if count <= before:
+            break
+        before = count
+        sure = instances.filter(F.col("score") >= LEAST_CONFIDENCE).select("value", F.lit(1.0).alias("found"))
+        seeds = stored(
+            seeds.join(sure, "value", "left").select("value", F.greatest("known", F.coalesce("found", F.lit(0.0))).alias("known")),
+            "pii-seeds",
         )
-        instances = stored(found, "pii-instances")
-    return patterns.filter(F.col("confidence") >= LEAST_CONFIDENCE)
+    return strong
 
 
 def context_spans(documents: DataFrame) -> DataFrame:
@@ -218,33 +241,30 @@ def context_spans(documents: DataFrame) -> DataFrame:
     )
 
 
-def find_pii(documents: DataFrame, keep_text: bool = True) -> DataFrame:
-    """``documents`` (null texts empty) with a column ``pii``: an array of (start, end) spans per kind.
+def find_pii(documents: DataFrame, keep_text: bool = True, name: str = "pii") -> DataFrame:
+    """``documents`` (null texts empty) with a column ``name``: an array of (start, end) spans per kind.
 
     Only rows with a digit or an @ are matched; the spans that the method adds are joined by id and
     text hash. Without ``keep_text`` the texts take no part in that join.
     """
     added = stored(context_spans(documents), "pii-spans")
     text = F.coalesce("text", F.lit(""))
-    spotted = documents.drop("pii").withColumns(
-        {
-            "text": text,
-            "__key": F.xxhash64(text),
-            "__formats": F.struct(*[format_spans(text, kind).alias(kind) for kind in FORMATS]),
-        }
-    )
+    spotted = documents.drop(name)
+    key, formats, doc, hashed, spans = (unused(spotted, n) for n in ("key", "formats", "added_doc", "added_key", "added"))
+    found = F.struct(*[format_spans(text, kind).alias(kind) for kind in FORMATS])
+    spotted = spotted.withColumns({"text": text, key: F.xxhash64(text), formats: found})
     if not keep_text:
         spotted = spotted.drop("text")
-    key = added.select(
-        F.col("doc_id").alias("__added_doc"), F.col("text_key").alias("__added_key"), F.col(CONTEXT).alias("__added")
+    joined = added.select(
+        F.col("doc_id").alias(doc), F.col("text_key").alias(hashed), F.col(CONTEXT).alias(spans)
     )
-    same = F.col("doc_id").eqNullSafe(F.col("__added_doc")) & (F.col("__key") == F.col("__added_key"))
-    kinds = [F.col(f"__formats.{kind}").alias(kind) for kind in FORMATS]
-    context = F.coalesce("__added", F.array().cast(SPANS)).alias(CONTEXT)
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(hashed))
+    kinds = [F.col(f"{formats}.{kind}").alias(kind) for kind in FORMATS]
+    context = F.coalesce(spans, F.array().cast(SPANS)).alias(CONTEXT)
     return (
-        spotted.join(key, same, "left")
-        .withColumn("pii", F.struct(*kinds, context))
-        .drop("__key", "__formats", "__added_doc", "__added_key", "__added")
+        spotted.join(joined, same, "left")
+        .withColumn(name, F.struct(*kinds, context))
+        .drop(key, formats, doc, hashed, spans)
     )
 
 
@@ -261,12 +281,13 @@ def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with every span replaced by its kind, as in ``[EMAIL]``. Of spans that overlap
     the one that begins first is named and the rest of both goes. ``n_chars``, if there, is updated."""
     kinds = [*FORMATS, CONTEXT]
-    found = find_pii(documents)
+    pii, spans = unused(documents, "pii"), unused(documents, "spans")
+    found = find_pii(documents, name=pii)
 
     def tags(kind: str) -> Column:
         tag = F.lit(f"[{kind.upper()}]").alias("tag")
         return F.transform(
-            f"pii.{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), tag)
+            f"{pii}.{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), tag)
         )
 
     tagged = F.array_sort(F.concat(*map(tags, kinds)))
@@ -281,14 +302,12 @@ def redact(documents: DataFrame) -> DataFrame:
         )
 
     cleaned = F.aggregate(
-        F.col("__spans"),
+        F.col(spans),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         step,
         lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))),
     )
-    out = found.withColumn("__spans", tagged).withColumn(
-        "text", F.when(F.size("__spans") == 0, text).otherwise(cleaned)
-    )
+    out = found.withColumn(spans, tagged).withColumn("text", F.when(F.size(spans) == 0, text).otherwise(cleaned))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out.select(*documents.columns)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlake.llm.common import in_slices, ship_package, stored, whole_groups
+from costlake.llm.common import in_slices, ship_package, stored, unused, whole_groups
 from costlake.llm.components import components
 from costlake.llm.words import mix, utf8
 
@@ -198,8 +198,9 @@ def first_of_each(documents: DataFrame, classes: DataFrame | None = None, **sett
     ``classes`` is (doc_id, component_id); without it, those of ``near_duplicates(**settings)``."""
     named = documents.filter("doc_id is not null")
     classes = near_duplicates(named, **settings) if classes is None else classes
-    keep = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = named.join(keep, named["doc_id"] == F.col("__keep"), "left_semi")
+    keep = classes.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(keep, "doc_id", "left_semi")
+    place = unused(documents, "place")
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    once = kept.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
+    once = kept.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).select(*documents.columns)
     return once.unionByName(documents.filter("doc_id is null"))

@@ -219,8 +219,7 @@ def reject_toxic(documents: DataFrame, labels: DataFrame, limit: float = 0.5) ->
 
     Rows that share an id go if any of them is toxic."""
     toxic = score(documents, labels).filter(F.col("score") >= limit)
-    toxic = toxic.select(F.col("doc_id").alias("__toxic")).distinct()
-    return documents.join(toxic, documents["doc_id"] == F.col("__toxic"), "left_anti")
+    return documents.join(toxic.select("doc_id").distinct(), "doc_id", "left_anti").select(*documents.columns)
 
 
 def held_out(doc_id: Column) -> Column:
