@@ -17,15 +17,15 @@ from costlake.plans.ingest import ingest
 from costlake.plans.marts import USAGE_MARTS
 from costlake.plans.serving import serving_rows
 from costlake.plans.support import split_tickets, tickets_by_org_day, tickets_by_severity
-from costlake.plans.usage import baseline_of, org_day_costs, org_dimension
+from costlake.plans.usage import baseline_of_moments, day_moments, org_day_costs, org_dimension
 from costlake.session import use_utc
 from costlake.sources.readers import read_declared, stream_landed_events, stream_parquet
 from costlake.sources.schemas import (
     BRONZE_EVENT,
     DAILY_FEATURES,
+    DAY_MOMENTS,
     FLAGGED_EVENT,
     GOLD_MARTS,
-    ORG_DAY_COSTS,
     SERVING_TABLES,
     SILVER_EVENT,
 )
@@ -36,7 +36,7 @@ from costlake.sources.sinks import (
     write_partitions,
     write_quarantine,
 )
-from costlake.sources.storage import has_files, read_or_empty
+from costlake.sources.storage import copy, exists, has_files, names, read_or_empty, remove
 from costlake.streaming.counts import dropped_rows
 from costlake.streaming.late import keep_late
 from costlake.streaming.jobs import (
@@ -131,29 +131,51 @@ def run_batch(
     return stats
 
 
+def day_files(spark: SparkSession, path: str, scratch: str) -> DataFrame:
+    """(event_date, written): the newest file time, in milliseconds, of every day of the bronze events.
+
+    A stream's sink lists its files, with their times, in a log of its own; no event file is opened for it.
+    Spark's readers pass over the log's folder, so its last compacted file and those after it are copied to
+    ``scratch``. A table that no stream wrote is asked for its files' times.
+    """
+    log = f"{path}/_spark_metadata"
+    if exists(spark, log):
+        number = {name: int(name.split(".")[0]) for name in names(spark, log) if name[0].isdigit()}
+        since = max((n for name, n in number.items() if name.endswith(".compact")), default=-1)
+        remove(spark, scratch)
+        for name, n in number.items():
+            if n > since or (n == since and name.endswith(".compact")):
+                copy(spark, f"{log}/{name}", f"{scratch}/{name}")
+        files = spark.read.schema("path string, modificationTime long, action string").json(scratch)
+        day = F.expr("try_cast(regexp_extract(path, 'event_date=([^/]+)', 1) AS date)")
+        files = files.filter("action = 'add'").select(day.alias("event_date"), F.col("modificationTime").alias("at"))
+    else:
+        written = F.unix_millis("_metadata.file_modification_time")
+        files = read_declared(spark, path, BRONZE_EVENT).select("event_date", written.alias("at"))
+    return files.groupBy("event_date").agg(F.max("at").alias("written"))
+
+
 def refresh_baseline(spark: SparkSession, lake: Lake) -> DataFrame:
     """Cost baseline over all bronze events, reading only the days that changed.
 
-    Costs per org and day are kept as a table. A day is computed again as a whole when it is missing
-    there or has a file at least as new as the newest one known when it was computed. The baseline
-    is then a small aggregate over the cost table instead of over all events ever seen.
+    Moments per service and day are kept as a table. A day is computed again as a whole, and its old moments
+    are replaced, when it is missing there or has a file at least as new as the newest one known when it was
+    computed. The baseline then merges a few rows per day instead of reading all events ever seen.
     """
-    events = read_or_empty(spark, f"{lake.bronze}/streaming/usage_events", BRONZE_EVENT)
-    costs_path = f"{lake.silver}/org_day_costs"
-    if not events.isEmpty():
-        # Directory column and file times only: no event data is read for this.
-        written = F.max(F.unix_millis("_metadata.file_modification_time")).alias("written")
-        day_files = events.groupBy("event_date").agg(written)
-        newest = day_files.agg(F.max("written")).first()[0]
-        known = read_or_empty(spark, costs_path, ORG_DAY_COSTS).groupBy("event_date").agg(
+    path = f"{lake.bronze}/streaming/usage_events"
+    moments_path = f"{lake.silver}/service_day_moments"
+    if has_files(spark, path):
+        written = materialise(day_files(spark, path, f"{lake.silver}/bronze_log"), f"{lake.silver}/bronze_days")
+        newest = written.agg(F.max("written")).first()[0]
+        known = read_or_empty(spark, moments_path, DAY_MOMENTS).groupBy("event_date").agg(
             F.max("files_until").alias("until")
         )
         stale = F.col("until").isNull() | (F.col("written") >= F.col("until"))
-        days = day_files.join(known, "event_date", "left").filter(stale)
-        changed = keep_directories(events, days, ["event_date"])
-        costs = org_day_costs(changed).withColumn("files_until", F.lit(newest).cast("long"))
-        write_partitions(costs, costs_path, ["event_date"])
-    baseline = baseline_of(read_or_empty(spark, costs_path, ORG_DAY_COSTS))
+        days = written.join(known, "event_date", "left").filter(stale)
+        changed = keep_directories(read_declared(spark, path, BRONZE_EVENT), days, ["event_date"])
+        moments = day_moments(org_day_costs(changed)).withColumn("files_until", F.lit(newest).cast("long"))
+        write_partitions(moments, moments_path, ["event_date"])
+    baseline = baseline_of_moments(read_or_empty(spark, moments_path, DAY_MOMENTS))
     return materialise(baseline, f"{lake.silver}/service_baseline")
 
 

@@ -5,7 +5,7 @@ Every function takes and returns a frame and is used by batch jobs and streams a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.rules import Z_SCORE_LIMIT, silver_event_rule, with_event_flags
@@ -102,6 +102,30 @@ def baseline_of(costs: DataFrame) -> DataFrame:
     )
 
 
+def day_moments(costs: DataFrame) -> DataFrame:
+    """Moments of the cost of an org, per service and day. Those of a changed day replace the old ones."""
+    return costs.groupBy("event_date", "service").agg(
+        F.count("daily_cost_usd").alias("orgs"),
+        F.avg("daily_cost_usd").alias("mean_cost"),
+        (F.var_pop("daily_cost_usd") * F.count("daily_cost_usd")).alias("squares"),
+    )
+
+
+def baseline_of_moments(moments: DataFrame) -> DataFrame:
+    """``baseline_of`` from moments per day: days are merged by the distance of their means from the common one,
+    which loses no digits to big sums of squares. The rows are days and services, however many orgs there are."""
+    of_service = Window.partitionBy("service")
+    total = F.sum("orgs").over(of_service)
+    mean = F.sum(F.col("orgs") * F.col("mean_cost")).over(of_service) / total
+    merged = moments.withColumns({"total": total, "mean": mean}).groupBy("service", "total", "mean").agg(
+        F.sum(F.col("squares") + F.col("orgs") * F.pow(F.col("mean_cost") - F.col("mean"), F.lit(2.0))).alias("squares")
+    )
+    deviation = F.when(F.col("total") > 1, F.sqrt(F.col("squares") / (F.col("total") - 1)))
+    return merged.select(
+        "service", F.col("mean").alias("service_mean_cost"), deviation.alias("service_stddev_cost")
+    )
+
+
 def service_baseline(bronze: DataFrame) -> DataFrame:
     return baseline_of(org_day_costs(bronze))
 

@@ -155,10 +155,10 @@ DAILY_FEATURES = typed(
        anomaly_zscore_flag BOOLEAN"""
 )
 
-# Daily cost per org and service over all of bronze; ``files_until`` is the newest file
-# counted in, as epoch milliseconds.
-ORG_DAY_COSTS = typed(
-    """org_id STRING, service STRING, daily_cost_usd DOUBLE, files_until BIGINT, event_date DATE"""
+# Per service and UTC day, over all of bronze: how many orgs have a cost, its mean, and the sum of squared
+# distances from that mean; ``files_until`` is the newest file time known when the day was computed.
+DAY_MOMENTS = typed(
+    """service STRING, orgs BIGINT, mean_cost DOUBLE, squares DOUBLE, files_until BIGINT, event_date DATE"""
 )
 
 

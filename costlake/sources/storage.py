@@ -51,6 +51,14 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file or folder within what Hadoop can reach."""
+    from_system, from_path = _resolve(spark, source)
+    to_system, to_path = _resolve(spark, target)
+    files = spark._jvm.org.apache.hadoop.fs.FileUtil
+    files.copy(from_system, from_path, to_system, to_path, False, True, spark._jsc.hadoopConfiguration())
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Create an empty file, to say that something is complete."""
     file_system, hadoop_path = _resolve(spark, path)

@@ -8,8 +8,11 @@ from costlake.functions.values import truncate_to_long
 from costlake.plans.ingest import split_landed_events, with_event_columns
 from costlake.plans.marts import anomaly_mart, genai_mart, usage_mart
 from costlake.plans.usage import (
+    baseline_of,
+    baseline_of_moments,
     conform_events,
     daily_features,
+    day_moments,
     enrich_events,
     org_dimension,
     service_baseline,
@@ -204,3 +207,21 @@ def test_anomaly_mart(spark):
 def test_rules_stay_in_generated_code(spark):
     accepted, _ = split_events(bronze(spark, {}).filter(F.rand() < 2))
     assert "*(1) Project" in accepted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merged_moments_equal_the_baseline_over_all_costs(spark):
+    costs = spark.range(4000).selectExpr(
+        "date_add(DATE'2025-01-01', CAST(id % 37 AS INT)) AS event_date", "CAST(id % 211 AS STRING) AS org_id",
+        "IF(id % 5 = 0, NULL, CONCAT('s', id % 3)) AS service",
+        # Far from zero and close together: sums of squares would lose the spread.
+        "1e6 + pmod(xxhash64(id), 1000) / 1000 AS daily_cost_usd",
+    ).union(spark.sql("SELECT DATE'2025-01-01', 'o', 'once', 7.0D"))
+    merged, full = baseline_of_moments(day_moments(costs)), baseline_of(costs)
+    pairs = full.join(merged.toDF("name", "mean", "deviation"), F.col("service").eqNullSafe(F.col("name"))).collect()
+    assert len(pairs) == full.count() == merged.count() == 5
+    for r in pairs:
+        assert r["mean"] == pytest.approx(r.service_mean_cost, rel=1e-12)
+        if r.service == "once":
+            assert r.deviation is None and r.service_stddev_cost is None
+        else:
+            assert r.deviation == pytest.approx(r.service_stddev_cost, rel=1e-9)
