@@ -4,7 +4,9 @@ Each partition is one pass over its documents with a fixed number of open window
 than a window fills whole windows with its first pieces; the rest goes where it leaves the least
 room. If it fits nowhere, the fullest open window is emitted and a new one is opened. The windows
 still open at the end of the partitions are merged: their pieces are packed again, the longest
-first, in ever fewer groups, until one group is left.
+first, in ever fewer groups, until one group is left. A window with little room left is settled, and of the others
+a group passes on only as many as a partition may keep open, those with the most room: so a group of any round holds
+a fixed number of windows at most, however large the input.
 
 Edge cases: a null or empty text is its end token alone; repeated rows are documents of their own;
 an empty table gives no piece; columns other than doc_id and text are ignored; a document of any
@@ -31,6 +33,8 @@ from costlake.llm.common import ship_package, stored
 WINDOW = 1024
 OPEN_WINDOWS = 64
 END_ID = 0
+#: A window with no more than this share of it free is not filled further.
+SETTLED = 0.05
 #: Groups of this many partitions (or groups) are merged into one in each round.
 FAN_IN = 32
 #: Pieces of text whose ids are kept by a Python worker.
@@ -163,8 +167,9 @@ class Windows:
             insort(self.rooms, (room - length, window))
         return window, self.size - room, emitted
 
-    def open_ids(self) -> set[int]:
-        return {window for _, window in self.rooms}
+    def open_ids(self, most: int) -> set[int]:
+        """Up to ``most`` windows that are worth filling further, those with the most room."""
+        return {window for room, window in self.rooms[-most:] if room > self.size * SETTLED}
 
 
 def _first_pass(path: str, ranks: str | None, window: int, most: int, end_id: int):
@@ -203,20 +208,20 @@ def _first_pass(path: str, ranks: str | None, window: int, most: int, end_id: in
                         if offset + length == window:
                             done += waiting.pop(chosen)
                 yield table(done)
-        left = [(*p[:6], True, *p[7:]) for pieces in waiting.values() for p in pieces]
-        yield table(left)
+        still = windows.open_ids(most)
+        yield table([(*p[:6], p[4] in still, *p[7:]) for pieces in waiting.values() for p in pieces])
 
     return run
 
 
-def _merge(window: int, most: int | None, level: int):
+def _merge(window: int, most: int, level: int):
     def run(pieces: pd.DataFrame) -> pd.DataFrame:
         group = int(pieces["group"].iloc[0])
         pieces = pieces.sort_values(["length", "sequence_id", "offset"], ascending=[False, True, True])
-        windows = Windows(window, most, (level << 56) + (group << 32))
+        windows = Windows(window, None, (level << 56) + (group << 32))
         placed = [windows.place(n)[:2] for n in pieces["length"].tolist()]
         target = np.array([p[0] for p in placed], dtype=np.int64)
-        still = windows.open_ids()
+        still = windows.open_ids(most)
         return pd.DataFrame(
             {
                 "group": group,
@@ -230,11 +235,11 @@ def _merge(window: int, most: int | None, level: int):
     return run
 
 
-def merged_leftovers(leftovers: DataFrame, window: int, origins: int, fan_in: int) -> DataFrame:
+def merged_leftovers(leftovers: DataFrame, window: int, origins: int, fan_in: int, most: int) -> DataFrame:
     """(sequence_id, offset, new_sequence, new_offset) of the pieces in windows that stayed open.
 
-    A group holds the open windows of ``fan_in`` partitions, a fixed number of pieces at most. In the
-    next round only the windows that a group could not fill go on, so each round is smaller.
+    A group holds the open windows of ``fan_in`` partitions, or of as many groups of the round before: ``most``
+    of each. There is one round for every power of ``fan_in`` in the number of partitions.
     """
     level, groups = 1, -(-origins // fan_in)
     current = leftovers.select(
@@ -250,7 +255,7 @@ def merged_leftovers(leftovers: DataFrame, window: int, origins: int, fan_in: in
         plan = (
             current.select("group", *keys, "length")
             .groupBy("group")
-            .applyInPandas(_merge(window, None, level), schema)
+            .applyInPandas(_merge(window, most, level), schema)
         )
         moved = stored(
             current.select(*keys, "first_sequence", "first_offset").join(plan, keys), "pack-leftovers"
@@ -302,7 +307,7 @@ def pack(
     )
     leftovers = placed.filter("open")
     origins = (leftovers.agg(F.max("origin")).first()[0] or 0) + 1
-    moves = merged_leftovers(leftovers, window, origins, fan_in)
+    moves = merged_leftovers(leftovers, window, origins, fan_in, open_windows)
     columns = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     merged = leftovers.join(moves, ["sequence_id", "offset"]).select(
         "doc_id", "start", "length", "doc_tokens",
