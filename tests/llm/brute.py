@@ -67,7 +67,7 @@ def unigram_scores(docs):
     }
 
 
-def pair_score(docs, discount=0.75, least=2):
+def pair_score(docs, discount=0.75, least=1):
     """doc_id -> log10 probability, without quantising."""
     tokens = {d: [*words(lower_ascii(t)), None] for d, t in docs}
     single, pairs, context = Counter(), Counter(), Counter()
