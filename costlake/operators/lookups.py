@@ -63,11 +63,12 @@ def left_lookup(
     A lookup measured as small is broadcast, and the facts are not shuffled at all. A bigger one is
     joined by shuffle on (key, slice): facts are sliced by ``spread_by`` and the lookup repeated per
     slice, so a key that holds a large share of the facts is spread over ``slices`` tasks. This also
-    serves streams, where Spark does not split skewed partitions by itself.
+    serves streams, where Spark does not split skewed partitions by itself. Spark takes the size of a
+    compressed file for that of the repeated rows and would broadcast them all; the hint rules that out.
     """
     size = measured_bytes(lookup)
     if size is not None and size <= limit_bytes:
         return facts.join(F.broadcast(lookup), key, "left")
     sliced_facts = facts.withColumn("_slice", hash_bucket(spread_by, slices))
     sliced_lookup = lookup.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return sliced_facts.join(sliced_lookup, [key, "_slice"], "left").drop("_slice")
+    return sliced_facts.join(sliced_lookup.hint("merge"), [key, "_slice"], "left").drop("_slice")

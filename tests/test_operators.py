@@ -53,6 +53,15 @@ def test_lookup_paths_agree(spark):
     assert small.count() == 3000
 
 
+def test_a_repeated_lookup_is_never_broadcast(spark, folder):
+    """The file of a big lookup may be smaller than Spark's own limit for broadcasts."""
+    spark.range(500).selectExpr("'k' || id AS k", "'same' AS name").write.parquet(folder + "/lookup")
+    found = left_lookup(hot_facts(spark), spark.read.parquet(folder + "/lookup"), "k", "id", limit_bytes=0, slices=8)
+    assert "Broadcast" not in plan(found) and "SortMergeJoin [k" in plan(found)
+    assert found.count() == hot_facts(spark).count()
+    assert "Broadcast" not in plan(found)
+
+
 def test_measured_bytes(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "t STRING, n INT")
     assert measured_bytes(df) == 2 * 2 * 16 + 3
