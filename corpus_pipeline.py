@@ -24,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Near copies share 0.8
-    or more of their five-word shingles (Jaccard), which no distance of SimHashes tells (README)."""
+    """One document of each group of near copies: the one with the smallest id. Near copies have SimHashes a few
+    bits apart, found with pivot tables; or they share 0.8 or more of their five-word shingles (Jaccard), which no
+    distance of SimHashes tells (README). Chains may change between the two."""
     return simhash.first_of_each(docs, near_copies.similar_documents(docs))
 
 

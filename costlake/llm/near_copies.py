@@ -1,8 +1,9 @@
-"""Near copies by exact Jaccard similarity of word shingles, with candidates from minimum hashes.
+"""Near copies by SimHash, and by exact Jaccard similarity of word shingles with candidates from minimum hashes.
 
-A distance of 64-bit SimHashes can't tell a similarity of 0.8: pairs above it lie up to some 17 bits
-apart, pairs below it down to 4. So texts meet if the smallest hash of their shingles is the same under
-one of several orders, and every link is verified on the whole shingle sets. Two sets of similarity J
+Texts whose SimHashes lie few bits apart are linked through pivot tables (``simhash``). That finds the closest
+copies only: no distance of 64-bit SimHashes tells a similarity of 0.8, as pairs above it lie up to some 17 bits
+apart, pairs below it down to 4. So texts also meet if the smallest hash of their shingles is the same under
+one of several orders, and every such link is verified on the whole shingle sets. Two sets of similarity J
 have the same smallest hash with probability J under each order, so a pair at exactly 0.8 is missed
 with probability 0.2 ** KEYS (3e-6), a closer one more seldom.
 
@@ -20,13 +21,13 @@ and text are ignored. Sets are told apart by a 64-bit hash, as fingerprints are.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costlake.llm import simhash
 from costlake.llm.common import in_slices, ship_package, stored, whole_groups
 from costlake.llm.components import components
 from costlake.llm.words import mix, utf8
@@ -38,24 +39,13 @@ SEED = 42
 KEYS = 8
 #: Texts of a group that one task compares at once.
 SLICE = 1_000
+#: XXH64 of an empty text by seed 42.
+_EMPTY = np.array([0x98b1582b0977e704], dtype=np.uint64)
 
 
-def shingle_set(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of one text."""
-    from xxhash import xxh64_intdigest
-
-    words = text.lower().split()
-    whole = b" ".join(words)
-    if len(words) <= shingle:
-        return np.array([xxh64_intdigest(whole, seed)], dtype=np.uint64)
-    ends = list(accumulate(len(w) + 1 for w in words))
-    starts = [0, *ends[: len(words) - shingle]]
-    return np.unique(
-        np.fromiter(
-            (xxh64_intdigest(whole[a : b - 1], seed) for a, b in zip(starts, ends[shingle - 1 :])),
-            dtype=np.uint64, count=len(starts),
-        )
-    )
+def shingle_set(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; a text without a word is one empty shingle."""
+    return np.unique(hashes) if len(hashes) else _EMPTY
 
 
 def smallest(hashes: np.ndarray, keys: int = KEYS) -> list[int]:
@@ -71,23 +61,28 @@ def _print(hashes: np.ndarray) -> int:
 
 
 def keyed_sets(documents: DataFrame) -> DataFrame:
-    """(doc_id, print, keys) of every row: ``print`` tells shingle sets apart."""
+    """(doc_id, print, fp, keys) of every row: ``print`` tells shingle sets apart, ``fp`` is the SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, keys = [], []
+            prints, fps, keys = [], [], []
             for text in batch.column(1):
-                hashes = shingle_set(utf8(text.as_py()))
+                every = simhash.shingle_hashes(utf8(text.as_py()), SHINGLE, SEED)
+                hashes = shingle_set(every)
                 prints.append(_print(hashes))
+                fps.append(simhash.majority(every))
                 keys.append(smallest(hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "print", "keys"],
+                [
+                    batch.column(0), pa.array(prints, pa.int64()),
+                    pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "print", "fp", "keys"],
             )
 
     ship_package(documents.sparkSession)
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.mapInArrow(run, "doc_id long, print long, keys array<long>")
+    return chosen.mapInArrow(run, "doc_id long, print long, fp long, keys array<long>")
 
 
 def whole_sets(documents: DataFrame) -> DataFrame:
@@ -95,7 +90,8 @@ def whole_sets(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(utf8(text.as_py())) for text in batch.column(0)]
+            texts = (utf8(text.as_py()) for text in batch.column(0))
+            sets = [shingle_set(simhash.shingle_hashes(text, SHINGLE, SEED)) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_print(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["print", "shingles"],
@@ -196,16 +192,25 @@ def similar_links(documents: DataFrame, distinct: DataFrame, slice_rows: int = S
     )
 
 
-def similar_documents(documents: DataFrame) -> DataFrame:
-    """(doc_id, component_id) of every row with an id; classes are chains of pairs whose shingle sets
-    have a Jaccard similarity of 0.8 or more."""
+def simhash_links(hashed: DataFrame, distance: int) -> DataFrame:
+    """(a, b) links between the ``print`` of sets that a chain of SimHash links joins: each to the smallest one."""
+    distinct = stored(hashed.select("fp").distinct(), "near-copies-fingerprints")
+    classes = simhash.fingerprint_classes(distinct, distance)
+    members = hashed.select("print", "fp").distinct().join(classes, "fp").select("print", "component").distinct()
+    least = members.groupBy("component").agg(F.min("print").alias("b"))
+    return members.join(least, "component").filter("print != b").select(F.col("print").alias("a"), "b")
+
+
+def similar_documents(documents: DataFrame, distance: int = simhash.DISTANCE) -> DataFrame:
+    """(doc_id, component_id) of every row with an id; classes are chains of pairs whose SimHashes are at most
+    ``distance`` bits apart, or whose shingle sets have a Jaccard similarity of 0.8 or more."""
     named = documents.filter("doc_id is not null")
     hashed = stored(keyed_sets(named), "near-copies-keys")
     distinct = stored(
         hashed.groupBy("print").agg(F.min("doc_id").alias("first_doc"), F.first("keys").alias("keys")),
         "near-copies-distinct",
     )
-    found = components(similar_links(named, distinct))
+    found = components(simhash_links(hashed, distance).unionByName(similar_links(named, distinct)))
     labelled = distinct.join(found, distinct["print"] == found["node"], "left").select(
         "print", "first_doc", F.coalesce("component_id", "print").alias("component")
     )

@@ -38,22 +38,26 @@ PIVOTS = 32
 BUCKET, SLICE = 512, 20_000
 
 
-def fingerprint(text: bytes, shingle: int, seed: int = SEED) -> int:
-    """The 64-bit SimHash of one text: XXH64 of space-joined shingles of its lower-cased words."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of the space-joined shingles of a text's lower-cased words, repeats included; none without a word."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     whole = b" ".join(words)
     if len(words) <= shingle:
-        return xxh64_intdigest(whole, seed)
+        return np.array([xxh64_intdigest(whole, seed)], dtype=np.uint64)
     ends = list(accumulate(len(w) + 1 for w in words))
     starts = [0, *ends[: len(words) - shingle]]
-    hashes = np.fromiter(
+    return np.fromiter(
         (xxh64_intdigest(whole[a : b - 1], seed) for a, b in zip(starts, ends[shingle - 1 :])),
         dtype=np.uint64, count=len(starts),
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes; zero without any."""
     ones = np.zeros(64, dtype=np.int64)
     for begin in range(0, len(hashes), 1 << 14):  # bounded memory for any length
         part = hashes[begin : begin + (1 << 14)]
@@ -62,6 +66,11 @@ def fingerprint(text: bytes, shingle: int, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: bytes, shingle: int, seed: int = SEED) -> int:
+    """The 64-bit SimHash of one text."""
+    return majority(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp) of every row; ``fp`` is the fingerprint as a signed long."""
 
@@ -173,6 +182,15 @@ def links(distinct: DataFrame, distance: int, n: int, slice_rows: int = SLICE) -
     )
 
 
+def fingerprint_classes(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``distinct`` (a row per fingerprint ``fp``, and other columns) with ``component``: the smallest fingerprint, as
+    a signed long, that chains of links reach."""
+    found = components(links(distinct, distance, distinct.count()))
+    return distinct.join(found, distinct["fp"] == found["node"], "left").select(
+        *[distinct[c] for c in distinct.columns], F.coalesce("component_id", "fp").alias("component")
+    )
+
+
 def near_duplicates(
     documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED
 ) -> DataFrame:
@@ -180,10 +198,7 @@ def near_duplicates(
     fingerprints at most ``distance`` bits apart. Equal fingerprints are compared once."""
     hashed = stored(fingerprints(documents, shingle, seed), "simhash-fingerprints")
     distinct = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-distinct")
-    found = components(links(distinct, distance, distinct.count()))
-    labelled = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-        "fp", "first_doc", F.coalesce("component_id", "fp").alias("component")
-    )
+    labelled = fingerprint_classes(distinct, distance)
     smallest = labelled.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     named = stored(labelled.join(smallest, "component").select("fp", "component_id"), "simhash-classes")
     return hashed.join(named, "fp").select(

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from costlake.llm import near_copies
+from costlake.llm import near_copies, simhash
 
 
 def shingles(text, n=5):
@@ -75,3 +75,26 @@ def test_groups_of_the_same_members_are_compared_once(spark):
     )
     left = {(r.print, r.key) for r in near_copies.one_key_per_group(keyed).collect()}
     assert left == {(1, 10), (2, 10), (1, 13), (2, 13), (3, 13), (2, 14), (3, 14)}
+
+
+def test_simhash_links_count_in_the_stage(spark):
+    """Mostly one repeated line: repeats rule the SimHash, while the sets of shingles are far apart."""
+    line = " ".join(f"r{k}" for k in range(9))
+    tails = [" ".join(f"{name}{k}" for k in range(12)) for name in "ab"]
+    rows = [(1, f"{line} " * 400 + tails[0]), (2, f"{line} " * 400 + tails[1]), (3, tails[0]), (4, tails[1])]
+    assert not similar(rows)
+    prints = [simhash.fingerprint(t.encode(), 5) for _, t in rows]
+    assert (prints[0] ^ prints[1]).bit_count() <= simhash.DISTANCE
+    # A third text that is like the second by its set alone: the chain goes over both kinds of links.
+    rows.append((5, f"{line} {line} " + tails[1]))
+    assert similar(rows) == [(4, 1)] and (simhash.fingerprint(rows[4][1].encode(), 5) ^ prints[1]).bit_count() > 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == {1, 3, 4}
+    assert {tuple(r) for r in near_copies.similar_documents(docs).collect()} == {(1, 1), (2, 1), (3, 3), (4, 4), (5, 1)}
+
+
+def test_repeated_ids_keep_their_rows(spark):
+    rows = [(1, "a b c d e f g h"), (2, "k l m n o p q r"), (2, "a b c d e f g h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in near_copies.similar_documents(docs).collect()} == {(1, 1), (2, 2), (2, 1)}
