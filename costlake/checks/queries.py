@@ -635,31 +635,41 @@ def stream_rows_accounted(spark, sf_dir):
     )
 
 
-def landed_backwards(spark, sf_dir, root):
-    """Landed lines in four files, the newest events in the first, and all of them once more."""
+#: Lines of a landing file of ``landed_backwards`` at most, or nearly so: some 100 MB.
+LANDED_FILE_LINES = 250_000
+
+
+def landed_backwards(spark, sf_dir, root, file_lines=LANDED_FILE_LINES):
+    """Landed lines in four parts, the newest events in the first, and all of them once more. Each part is as many
+    files as its lines need, so that no task reads or writes a whole part; returns the path and that number.
+
+    The bounds between the parts are approximate quantiles, for which no task sees all times."""
     lines = landed_events(spark, sf_dir).select(
         F.coalesce("_corrupt_record", F.to_json(F.struct(*LANDED_FIELDS))).alias("value"),
         F.coalesce(F.try_to_timestamp("timestamp"), F.lit("2024-01-01").cast("timestamp")).alias("at"),
     )
     lines = stored(lines, "landed-lines")
-    quarters = lines.agg(F.expr("percentile(unix_micros(at), array(0.25, 0.5, 0.75))")).first()[0]
+    quarters, total = lines.agg(
+        F.percentile_approx(F.unix_micros("at"), [0.25, 0.5, 0.75], 1000), F.count(F.lit(1))
+    ).first()
+    files = max(1, -(-total // (4 * file_lines)))
     bounds = [None, *sorted(quarters, reverse=True), None]
     at = F.unix_micros("at")
     for copy in ("a", "b"):
         for i, (above, below) in enumerate(zip(bounds[1:], bounds)):
             part = lines.filter(at >= above if above is not None else F.lit(True))
             part = part.filter(at < below if below is not None else F.lit(True))
-            part.select("value").coalesce(1).write.text(f"{root}/landing/{copy}{i}")
-    return f"{root}/landing/*"
+            part.select("value").repartition(files).write.text(f"{root}/landing/{copy}{i}")
+    return f"{root}/landing/*", files
 
 
 @register
 def stream_late_rows_kept(spark, sf_dir):
-    """Landed lines, newest files first and each twice, with one file per micro-batch: most files come late. Every valid
+    """Landed lines, newest files first and each twice, with one part per micro-batch: most parts come late. Every valid
     event is in bronze or among the late rows, and each line is kept, rejected, late or a copy."""
     root = run_folder(spark, "stream-late-rows")
-    path = landed_backwards(spark, sf_dir, root)
-    lines = stream_landed_events(spark, path, 1, "*.txt")
+    path, files = landed_backwards(spark, sf_dir, root)
+    lines = stream_landed_events(spark, path, files, "*.txt")
     with dropped_rows(spark) as dropped:
         reported, copies = dropped.of(await_all(start_bronze(lines, f"{root}/bronze", f"{root}/checkpoints")))
     late_path = f"{root}/late"

@@ -4,8 +4,11 @@ import json
 import time
 
 import pytest
-from conftest import rows
+from conftest import SF_DIR, rows
+from pyspark.sql import functions as F
 
+from costlake.checks.queries import landed_backwards
+from costlake.checks.views import landed_lines
 from costlake.sources.readers import stream_landed_events
 from costlake.sources.schemas import BRONZE_EVENT
 from costlake.streaming import late
@@ -107,3 +110,19 @@ def test_a_run_that_dies_before_its_ledger_is_repeated_without_doubles(spark, la
 
 def test_nothing_landed_yet(spark, landing):
     assert kept_late(spark, landing) == 0
+
+
+def test_landing_parts_are_files_of_bounded_size(spark, tmp_path):
+    """Newest part first, each line in two files, and no file holds a whole part."""
+    path, files = landed_backwards(spark, SF_DIR, str(tmp_path), file_lines=50)
+    assert files == 5
+    lines = spark.read.text(path).withColumn("file", F.input_file_name())
+    assert lines.count() == 2 * landed_lines(spark, SF_DIR).count()
+    assert lines.select("value").exceptAll(landed_lines(spark, SF_DIR)).exceptAll(landed_lines(spark, SF_DIR)).isEmpty()
+    assert max(r["count"] for r in lines.groupBy("file").count().collect()) <= 100
+    parts = lines.withColumn("part", F.regexp_extract("file", "landing/([ab][0-3])/", 1))
+    at = F.try_to_timestamp(F.get_json_object("value", "$.timestamp"))
+    timed = parts.filter(at > "2024-01-02").groupBy("part").agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    spans = {r["part"]: (r["low"], r["high"]) for r in timed.collect()}
+    assert set(spans) == {c + str(i) for c in "ab" for i in range(4)}
+    assert all(spans[f"{c}{i}"][0] >= spans[f"{c}{i + 1}"][1] for c in "ab" for i in range(3))
