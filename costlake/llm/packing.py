@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,9 @@ SETTLED = 0.05
 #: Groups of this many partitions (or groups) are merged into one in each round.
 FAN_IN = 32
 #: Pieces of text whose ids are kept by a Python worker.
-CACHE = 700_000
+CACHE = 200_000
+#: Documents, and bytes of their texts, that are encoded at a time; a longer text is encoded alone.
+DOCUMENTS, TEXT_BYTES = 1000, 1 << 20
 
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -172,6 +175,19 @@ class Windows:
         return {window for room, window in self.rooms[-most:] if room > self.size * SETTLED}
 
 
+def encoded_at_once(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(begin, rows) of the slices of a batch that are encoded one after another."""
+    begin, held = 0, 0
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for i, size in enumerate(sizes):
+        if i > begin and (i - begin >= DOCUMENTS or held + size > TEXT_BYTES):
+            yield begin, i - begin
+            begin, held = i, 0
+        held += size
+    if sizes:
+        yield begin, len(sizes) - begin
+
+
 def _first_pass(path: str, ranks: str | None, window: int, most: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, ranks).encode
@@ -187,8 +203,8 @@ def _first_pass(path: str, ranks: str | None, window: int, most: int, end_id: in
             )
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
+            for begin, rows in encoded_at_once(batch.column(1)):
+                part = batch.slice(begin, rows)
                 done = []
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc, ids in zip(part.column(0).to_pylist(), encode(texts)):
