@@ -175,12 +175,14 @@ class Windows:
         return {window for room, window in self.rooms[-most:] if room > self.size * SETTLED}
 
 
-def encoded_at_once(texts: pa.Array) -> Iterator[tuple[int, int]]:
+def encoded_at_once(
+    texts: pa.Array, documents: int = DOCUMENTS, text_bytes: int = TEXT_BYTES
+) -> Iterator[tuple[int, int]]:
     """(begin, rows) of the slices of a batch that are encoded one after another."""
     begin, held = 0, 0
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     for i, size in enumerate(sizes):
-        if i > begin and (i - begin >= DOCUMENTS or held + size > TEXT_BYTES):
+        if i > begin and (i - begin >= documents or held + size > text_bytes):
             yield begin, i - begin
             begin, held = i, 0
         held += size

@@ -26,15 +26,18 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlake.llm.common import ship_package, stored
+from costlake.llm.packing import encoded_at_once
 from costlake.llm.wavelet import BitPlane, WaveletMatrix
 from costlake.session import run_folder
 
@@ -44,8 +47,10 @@ SHARD_TOKENS = 1 << 22
 BLOCK_BITS = 1 << 16
 #: Parts of texts whose ids are kept by a Python worker.
 CACHE = 200_000
-#: Documents that are encoded or decoded at a time.
+#: Documents that are decoded at a time.
 DOCUMENTS = 500
+#: Documents, and bytes of their texts, that are encoded at a time: a word that they repeat is looked up once.
+ENCODED, TEXT_BYTES = 5000, 8 << 20
 
 MAGIC = b"WMTOKENS1\0\0\0\0\0\0\0"
 HEADER = struct.Struct("<QQIII")
@@ -68,6 +73,8 @@ _BYTES = {
     c: "\u00c3" + {0x9F: "\u0141", 0xA0: "\u0142", 0xAD: "\u0143"}.get(c - 0x40, chr(c - 0x40))
     for c in range(0xDF, 0x100)
 }
+#: Ids of a part as little-endian unsigned 32-bit values, by their number.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
 class WordEncoder:
@@ -75,8 +82,9 @@ class WordEncoder:
     of letters, single digits, runs of other characters, and the English endings after an apostrophe.
 
     A text of plain characters (ASCII and Latin letters, which the tokenizer's normal form leaves alone) is cut
-    here as the tokenizer does, in one regex pass. Any other text, or one that may hold a special token, is cut
-    at white space only. Each distinct part is encoded once per batch or taken from the cache. A part of plain
+    at white space, by Arrow; each distinct piece of a batch is then cut here as the tokenizer does, in one
+    regex pass, unless it is in the cache. Any other text, or one that may hold a special token, is cut at white
+    space only. Each distinct part is encoded once per batch or taken from the cache. A part of plain
     lower-case letters goes to the tokenizer's model at once, as the steps before it change nothing.
     """
 
@@ -103,24 +111,52 @@ class WordEncoder:
             for part, one in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 yield part, one.ids
 
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            return _PART.findall(text.lower())
+    def fresh_ids(self, cut: list[list[str]]) -> dict[str, bytes]:
+        """Ids of the parts that the cache does not hold; it takes them as far as it has room."""
+        missing = list(set().union(*cut) - self.known.keys())
+        fresh = {part: _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+                 for part, ids in self.ids_of(missing)}
+        room = max(0, CACHE - len(self.known))
+        self.known.update(islice(((part, ids) for part, ids in fresh.items() if len(part) <= 40), room))
+        return fresh
+
+    def encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of plain characters. Arrow cuts them at white space and puts their ids together; Python
+        sees the distinct pieces only."""
+        cut = pc.ascii_split_whitespace(pa.array([text.lower() for text in texts], pa.large_string()))
+        coded = cut.values.dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.known
+        ids = list(map(known.get, pieces))
+        new = [i for i, found in enumerate(ids) if found is None]
+        parts_of = [_PART.findall(pieces[i]) for i in new]
+        fresh = self.fresh_ids(parts_of)
+        for i, parts in zip(new, parts_of):
+            ids[i] = (
+                fresh[parts[0]] if len(parts) == 1 else b"".join([fresh[p] if p in fresh else known[p] for p in parts])
+            )
+        joined = pa.array(ids, pa.large_binary()).take(coded.indices)
+        raw = joined.buffers()[2]
+        raw = memoryview(raw) if raw else b""
+        places = np.concatenate(([0], np.cumsum(pc.binary_length(joined).to_numpy())))
+        ends = places[cut.offsets.to_numpy()].tolist()
+        return [bytes(raw[start:end]) for start, end in zip(ends, ends[1:])]
+
+    def encode_other(self, texts: list[str]) -> list[bytes]:
+        """Ids of any texts."""
         # Python alone takes the separators 1C to 1F for white space.
-        return text.split(" ") if _ODD_SPACE.search(text) else text.split()
+        cut = [text.split(" ") if _ODD_SPACE.search(text) else text.split() for text in texts]
+        fresh, known = self.fresh_ids(cut), self.known
+        return [b"".join([fresh[p] if p in fresh else known[p] for p in parts]) for parts in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit values."""
-        cut = [self.cut(text) for text in texts]
-        new = list(set().union(*cut) - self.known.keys())
-        self.known.update((part, struct.pack(f"<{len(ids)}I", *ids)) for part, ids in self.ids_of(new))
-        out = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
-        full = len(self.known) > CACHE
-        for part in new:
-            if full or len(part) > 40:
-                del self.known[part]
-        return out
+        plain = [bool(_PLAIN.fullmatch(text)) and "<|" not in text for text in texts]
+        in_order = {
+            kind: iter(run([text for text, own in zip(texts, plain) if own == kind]))
+            for kind, run in ((True, self.encode_plain), (False, self.encode_other))
+        }
+        return [next(in_order[kind]) for kind in plain]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -287,8 +323,8 @@ def _write_shards(path: str, folder: str, end_id: int, shard_tokens: int):
             )
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, DOCUMENTS):
-                some = batch.slice(begin, DOCUMENTS)
+            for begin, rows in encoded_at_once(batch.column("text"), ENCODED, TEXT_BYTES):
+                some = batch.slice(begin, rows)
                 texts = [t or "" for t in some.column("text").to_pylist()]
                 for doc, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(texts)):
                     doc_ids.append(doc)

@@ -141,3 +141,24 @@ def test_parts_get_the_ids_of_the_whole_tokenizer():
     found = dict(encoder.ids_of(parts))
     assert found == {p: encoder_tokenizer.encode(p, add_special_tokens=False).ids for p in parts}
     assert set(calls) == {"İi", "Ab", "ªº", "á", "日本", "1", "'s", "a'll", "¡a", "ſt", "ßẞ", "<|x|>", ""}
+
+
+def test_each_distinct_piece_is_cut_once(monkeypatch):
+    """However often texts repeat a piece; ids are those of the tokenizer, whatever the cache holds by then."""
+    cut = []
+
+    class Parts:
+        findall = staticmethod(lambda text, findall=token_files._PART.findall: (cut.append(text), findall(text))[1])
+
+    monkeypatch.setattr(token_files, "_PART", Parts)
+    encoder = token_files.WordEncoder(word_tokenizer_path())
+    texts = ["The cat's 12 hats, the cat!", "", " \t", "ça-va THE", "x" * 60 + ", cat", "日本 the cat's"] * 300
+    wanted = [np.array(ids[:-1], "<u4").tobytes() for ids in encoded(texts)]
+    assert encoder.encode(texts) == wanted
+    assert len(cut) == len(set(cut)) <= 9
+    monkeypatch.setattr(token_files, "CACHE", len(encoder.known))
+    assert encoder.encode(texts) == wanted and encoder.encode([]) == []
+    assert encoder.encode(["neverseen, cat"] * 2) == [
+        np.array(ids[:-1], "<u4").tobytes() for ids in encoded(["neverseen, cat"] * 2)
+    ]
+    assert "neverseen" not in encoder.known
